@@ -16,6 +16,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from public_tokenizers import path
+
+    from braidwork.llm.bpe import bpe_digests
+
+    return bpe_digests(read_table(spark, sf_dir), path("word_bpe_49k.json"))
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.simhash import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from braidwork.llm.mixing import mix_sources
 
@@ -29,7 +43,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_quality_rules, op8_mixing, op9_licenses)}
+    return {f.__name__: f for f in (op3_quality_rules, op4_bpe, op7_simhash, op8_mixing, op9_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
