@@ -24,6 +24,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_table(spark, sf_dir), path("word_bpe_49k.json"))
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.substring import substring_dedup
+
+    return substring_dedup(read_table(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from braidwork.llm.simhash import near_duplicates
 
@@ -43,7 +49,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_quality_rules, op4_bpe, op7_simhash, op8_mixing, op9_licenses)}
+    return {f.__name__: f for f in (op3_quality_rules, op4_bpe, op5_substring, op7_simhash, op8_mixing, op9_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
