@@ -32,4 +32,5 @@ def texts_with(docs: DataFrame, groups: DataFrame, places: DataFrame) -> DataFra
     t1, _ = text_key(F.col("text"))
     wanted = places.join(groups.select("t1", "ord"), "t1")
     rows = docs.select(order_id().alias("ord"), t1.alias("t1"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    return rows.join(wanted, ["t1", "ord"]).select("t1", "ord", "text", "places")
+    # Rows equal in id and text are one here; the keys are those of the join.
+    return rows.join(wanted, ["t1", "ord"]).select("t1", "ord", "text", "places").dropDuplicates(["t1", "ord"])

@@ -30,6 +30,12 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(read_table(spark, sf_dir))
 
 
+def op6_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.suffixes import suffix_dedup
+
+    return suffix_dedup(read_table(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from braidwork.llm.simhash import near_duplicates
 
@@ -49,7 +55,7 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_quality_rules, op4_bpe, op5_substring, op7_simhash, op8_mixing, op9_licenses)}
+    return {f.__name__: f for f in (op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses)}
 
 
 def oracle_sql() -> dict[str, str]:
