@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from braidwork.llm.common import lower_ascii, text_or_empty
+from braidwork.llm.common import lower_ascii, materialise, text_or_empty
 
 NOT_WORD = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 
@@ -152,7 +152,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
             F.sort_array(F.array_distinct(F.transform("_found", lambda x: x["label"]))).alias("_base"),
         )
     )
-    blocks = candidate_blocks(texts, key, templates, threshold)
+    blocks = materialise(candidate_blocks(texts, key, templates, threshold), "blocks")
     found = containment_join(blocks, key, token_order(blocks, templates), templates, threshold)
     by_text = found.groupBy(*key).agg(
         F.sort_array(F.collect_set("label")).alias("_method"),  # at most one entry a template
