@@ -8,6 +8,12 @@ from braidwork.llm import oracle
 from braidwork.llm.common import read_table
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.toxicity import score_toxicity
+
+    return score_toxicity(read_table(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from braidwork.llm.quality import quality_rules
 
@@ -54,8 +60,14 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read_table(spark, sf_dir))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.language import identify_languages
+
+    return identify_languages(read_table(spark, sf_dir))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses)}
+    return {f.__name__: f for f in (op2_toxicity, op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
