@@ -8,6 +8,12 @@ from braidwork.llm import oracle
 from braidwork.llm.common import read_table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.fingerprints import compare_versions
+
+    return compare_versions(read_table(spark, sf_dir))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from braidwork.llm.toxicity import score_toxicity
 
@@ -67,7 +73,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_toxicity, op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses, op10_language)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_toxicity, op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses, op10_language)}
 
 
 def oracle_sql() -> dict[str, str]:
