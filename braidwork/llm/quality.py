@@ -144,4 +144,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, keep: tuple[
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs``, with their columns, whose text passes every rule."""
     packed = docs.select(F.struct("*").alias("_row"), F.col("text"))
-    return quality_rules(packed, rules, keep=("_row",)).filter("kept").select("_row.*")
+    judged = quality_rules(packed, rules, keep=("_row",))
+    # A filter on kept alone would be pushed below the projections and bring the whole
+    # metric expressions along, once for each use; the row number keeps it above them.
+    return judged.withColumn("_at", F.monotonically_increasing_id()).filter("kept and _at >= 0").select("_row.*")
