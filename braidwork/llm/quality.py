@@ -59,6 +59,18 @@ RULES = (
 )
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, also where the optimizer copies the
+    whole expression into a filter or a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def repeat_words(words: Column) -> Column:
+    """Words inside 3-word windows that are found twice or more in the text."""
+    chain = lambda h: _let(_sorted_repeats(h), lambda s: _let(_repeat_places(s), _covered))
+    return _let(words, lambda w: _let(_window_hashes(w), chain))
+
+
 def _window_hashes(w: Column) -> Column:
     """64-bit hash of each 3-word window, in place order."""
     n = F.size(w)
@@ -104,12 +116,8 @@ def quality_metrics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Dat
             F.size("_lines").cast("long").alias("n_lines"),
             F.size(F.filter("_words", lambda w: w.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
             (F.size(F.split(text, "!(?:[ \\t-\\r]|$)")) - 1).cast("long").alias("n_shout_words"),
-            _window_hashes(F.col("_words")).alias("_hashes"),
+            repeat_words(F.col("_words")).alias("n_repeat_words"),
         )
-        .withColumn("_sorted", _sorted_repeats(F.col("_hashes")))
-        .withColumn("_places", _repeat_places(F.col("_sorted")))
-        .withColumn("n_repeat_words", _covered(F.col("_places")))
-        .drop("_hashes", "_sorted", "_places")
     )
     return counted.select(
         "*",
@@ -145,6 +153,6 @@ def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs``, with their columns, whose text passes every rule."""
     packed = docs.select(F.struct("*").alias("_row"), F.col("text"))
     judged = quality_rules(packed, rules, keep=("_row",))
-    # A filter on kept alone would be pushed below the projections and bring the whole
-    # metric expressions along, once for each use; the row number keeps it above them.
+    # A filter on kept alone would be pushed below the projections and compute the metrics
+    # once for each use in a rule; the row number keeps it above them.
     return judged.withColumn("_at", F.monotonically_increasing_id()).filter("kept and _at >= 0").select("_row.*")
