@@ -144,10 +144,9 @@ def _neighbour_links(crowded: DataFrame, distance: int) -> DataFrame:
     signed = lambda m: m - (1 << 64) if m >= 1 << 63 else m
     ones = [0, *(1 << k for k in range(64))]
     twos = [(1 << i) | (1 << j) for i, j in combinations(range(64), 2)]
-    masks = [(signed(m), k < len(ones)) for k, m in enumerate([*ones, *twos])]
-    spark = crowded.sparkSession
-    table = F.broadcast(spark.createDataFrame(masks, "mask long, one boolean"))  # 2081 rows, fixed
-    spread = crowded.select("a").distinct().join(table, F.lit(True)).select("a", "one", F.col("a").bitwiseXOR(F.col("mask")).alias("value"))
+    masks = F.array(*[F.lit(signed(m)) for m in (*ones, *twos)])  # 2081 values, fixed
+    spread = crowded.select("a").distinct().select("a", F.posexplode(masks).alias("n", "mask"))
+    spread = spread.select("a", (F.col("n") < len(ones)).alias("one"), F.col("a").bitwiseXOR(F.col("mask")).alias("value"))
     hubs = spread.filter("one").groupBy("value").agg(F.min("a").alias("b"))
     met = spread.join(hubs, "value").filter("a <> b")
     return met.select("a", "b").distinct().filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)

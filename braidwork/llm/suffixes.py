@@ -118,7 +118,7 @@ def _sort_contexts(size: int):
     crowded trigger, one by one."""
 
     def run(batches):
-        for crowded, t in complete_runs(batches, 4096, 4096):
+        for crowded, t in complete_runs(batches, 2048, 4096):
             key, t1, place, state = (t.column(k).to_numpy() for k in range(4))
             fresh = np.flatnonzero(run_starts(key, t1, place))
             t1, place, state = t1[fresh], place[fresh], state[fresh]

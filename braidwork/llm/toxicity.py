@@ -67,7 +67,7 @@ class Lexicon:
                         if (id(n), at) not in seen:
                             seen.add((id(n), at))
                             states.append((n, at, 1))  # a missing letter
-                if 0 < at < len(word):
+                if at < len(word):
                     states.append((node, at + 1, 1))  # an added letter
         return None if best is None else (best[2], -best[0])
 
@@ -187,7 +187,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 4000) -> tuple[list
         for edits in (0, 1):
             plain = seen.get((t, edits, False), (0, 0))
             # An edit that was never seen in the sample counts for less than the term itself.
-            weights[t, edits, False] = weigh(*plain) if sum(plain) else (0.5 * weights[t, 0, False] if edits else 0.0)
+            weights[t, edits, False] = weigh(*plain) if sum(plain) else (0.6 * weights[t, 0, False] if edits else 0.0)
             quoted = seen.get((t, edits, True), (0, 0))
             weights[t, edits, True] = weigh(*quoted) if sum(quoted) >= 5 else 0.25 * weights[t, edits, False]
     without = found.filter(F.size("hits") == 0).groupBy().agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n")).first()
