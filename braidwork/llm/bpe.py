@@ -60,7 +60,8 @@ class TrieEncoder:
         self.table = {b: c for b, c in enumerate(self.byte)}
         packed = lambda s: s[: -len(END) - 1] + chr(ord(s[-len(END) - 1]) + 0x10000) if s.endswith(END) and len(s) > len(END) else s
         self.ids: dict[str, int] = {packed(s): i for s, i in model["vocab"].items()}
-        self.longest = max(map(len, self.ids))
+        # Every end of a token: its id, or -1 where only longer tokens end so.
+        self.tails: dict[str, int] = {s[k:]: -1 for s in self.ids for k in range(1, len(s))} | self.ids
         self.rank: dict[tuple[int, int], int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}  # token: left, right, rank
         for rank, pair in enumerate(model["merges"]):
@@ -115,15 +116,16 @@ class TrieEncoder:
         return stay
 
     def symbols(self, word: str) -> str:
-        s = word.encode("utf-8").decode("latin-1").translate(self.table)
+        s = word if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.table)
         return s[:-1] + chr(ord(s[-1]) + 0x10000)
 
     def encode_words(self, words) -> dict[str, list[int]]:
         """Token ids of each distinct non-empty word."""
-        ids, size, longest, apart = self.ids, self.size, self.longest, self.apart
+        tails, size, whole, known, apart = self.tails.get, self.size, self._whole, self._apart.get, self.apart
         out: dict[str, list[int]] = {}
         before, last = "", [-1]  # last[d]: state of the node at depth d of the current path
-        for path, word in sorted((self.symbols(w), w) for w in words):
+        paths = {self.symbols(w): w for w in words}
+        for path in sorted(paths):
             d = 0
             for x, y in zip(before, path, strict=False):
                 if x != y:
@@ -132,19 +134,29 @@ class TrieEncoder:
             del last[d + 1 :]
             while d < len(path):
                 d += 1
-                for start in range(max(0, d - longest), d):
-                    token = ids.get(path[start:d])
-                    if token is not None and (self._whole(token) if start == 0 else last[start] >= 0 and apart(last[start], token)):
-                        last.append(token)
+                state, start = -2, d - 1
+                while start >= 0:
+                    token = tails(path[start:d])
+                    if token is None:
                         break
-                else:
-                    last.append(-2)
+                    if token >= 0:
+                        if start == 0:
+                            fits = whole(token)
+                        elif (left := last[start]) < 0:
+                            fits = False
+                        elif (fits := known((left, token))) is None:
+                            fits = apart(left, token)
+                        if fits:
+                            state = token
+                            break
+                    start -= 1
+                last.append(state)
             before = path
             tokens, d = [], len(path)
             while d:
                 tokens.append(last[d])
                 d -= size[last[d]]
-            out[word] = tokens[::-1]
+            out[paths[path]] = tokens[::-1]
         return out
 
     def _whole(self, token: int) -> bool:
@@ -202,7 +214,7 @@ def pieces(text: str, size: int = 1_000_000):
 class TextEncoder:
     """Encodes texts, keeping the encodings of up to ``cache_words`` words."""
 
-    def __init__(self, path: str, cache_words: int = 200_000):
+    def __init__(self, path: str, cache_words: int = 500_000):
         with open(path, encoding="utf-8") as f:
             self.encoder = TrieEncoder(json.load(f))
         self.cache_words = cache_words
