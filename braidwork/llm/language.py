@@ -44,7 +44,7 @@ def gram_counts(text: str) -> np.ndarray:
 
 def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
     m = np.stack([gram_counts(t) for t in texts]) if texts else np.zeros((0, DIMS), np.float32)
-    m = np.log1p(m) * idf
+    m = m * idf
     norm = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norm > 0, norm, 1)
 
