@@ -92,3 +92,10 @@ def file_manifest(files: DataFrame) -> DataFrame:
     return files.select(
         F.col("file_id").alias("id"), F.col("file_name").alias("filename"), F.col("md5sum").alias("md5"), F.col("file_size").alias("size"), F.lit("validated").alias("state")
     )
+
+
+def file_metadata(files: DataFrame, provenance: DataFrame, with_sample: bool = True) -> DataFrame:
+    """file_id, file_name, sample_id, assay_id and pipeline_version of each file; layers
+    whose files hold several samples leave sample_id out."""
+    rows = files.select("file_id", "file_name").join(provenance, "file_id")
+    return rows.select("file_id", "file_name", *(["sample_id"] if with_sample else []), "assay_id", "pipeline_version")
