@@ -1,11 +1,17 @@
 """License scan: an exact set-similarity join of text blocks with notice templates.
 
-Blocks are the lines of a text. Every template is a set of tokens; a block matches
-when it holds at least ``threshold`` of a template's tokens. Tokens are ordered by
+Blocks are the lines of a text, and for wrapped notices the runs of words over a line
+end that are as long as a template; a block is counted by the line where it begins.
+Every template is a set of tokens; a block matches when it holds at least ``threshold``
+of a template's tokens. Tokens are ordered by
 their frequency over the whole corpus, rarest first, and a block meets a template only
 through tokens in both prefixes of that order, under the length and positional filters,
 before the overlap is counted. The filters never lose a match.
 
+A run of words can match only if the whole text does, so whole texts of several lines
+go through the same join and only those that match are searched run by run. Lines that
+meet a template by themselves lend it no words for a run.
+
 Only template tokens can add to an overlap, so a block is first reduced to those: what
 is counted, ordered and broadcast is bounded by the templates, not by the corpus.
 
@@ -48,6 +54,12 @@ TEMPLATES = (
     ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license"),
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("proprietary", "copyright all rights reserved no part may be reproduced without prior written permission"),
+    ("gpl", "this work is licensed under the gnu general public license version"),
+    ("gpl", "licensed under the gnu general public license version"),
+    ("bsd", "licensed under the bsd 3 clause license"),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("unlicense", "this is free and unencumbered software released into the public domain"),
+    ("proprietary", "all rights reserved"),
 )
 
 
@@ -86,11 +98,13 @@ def template_table(templates=TEMPLATES) -> list[tuple[int, str, list[str]]]:
 
 def candidate_blocks(docs: DataFrame, key: list[str], templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """key columns, block and the block's template tokens, for blocks long enough for
-    some template (the length filter)."""
+    some template (the length filter). Block 0 is the whole text, if it has several
+    lines; the lines are numbered from 1."""
     table = template_table(templates)
     vocabulary = F.array(*[F.lit(t) for t in sorted({t for _, _, ts in table for t in ts})])
     least = min(need(len(ts), threshold) for _, _, ts in table)
-    lines = F.split(F.col("_text"), "\n")
+    whole = F.when(F.contains("_text", F.lit("\n")), F.col("_text"))
+    lines = F.concat(F.array(whole), F.split(F.col("_text"), "\n"))
     return (
         docs.select(*key, F.posexplode(lines).alias("block", "_line"))
         .select(*key, "block", F.array_intersect(license_words(F.col("_line")), vocabulary).alias("tokens"))
@@ -107,7 +121,7 @@ def token_order(blocks: DataFrame, templates=TEMPLATES) -> dict[str, int]:
 
 
 def containment_join(blocks: DataFrame, key: list[str], order: dict[str, int], templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """key, block, label, containment for every block that meets a template."""
+    """key, block, template, label, containment for every block that meets a template."""
     spark = blocks.sparkSession
     rows, sets = [], []
     for k, label, tokens in template_table(templates):
@@ -129,11 +143,43 @@ def containment_join(blocks: DataFrame, key: list[str], order: dict[str, int], t
     verified = met.join(F.broadcast(members), "template").withColumn("shared", F.size(F.array_intersect("ranks", "t_ranks")))
     return (
         verified.filter(F.col("shared") >= F.col("t_need"))
-        .select(*key, "block", "label", (F.col("shared") / F.col("t_size")).alias("containment"))
+        .select(*key, "block", "template", "label", (F.col("shared") / F.col("t_size")).alias("containment"))
         .distinct()
     )
 
 
+def wrapped_blocks(docs: DataFrame, found: DataFrame, key: list[str], templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+    """key, block, label, containment for every run of words over a line end that meets a
+    template. A run has as many words as the template and begins with one of its tokens."""
+    sets = [(k, label, tokens, len(templates[k][1].split()), need(len(tokens), threshold)) for k, label, tokens in template_table(templates)]
+    members = docs.sparkSession.createDataFrame(sets, "template int, label string, t_tokens array<string>, t_words int, t_need int")
+    met = found.groupBy(*key, "template").agg(F.min("block").alias("_least"), F.collect_set("block").alias("_met")).filter("_least = 0")
+    met = met.select(*[F.col(k).alias(f"{k}_") for k in key], "template", "_met").join(F.broadcast(members), "template")
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
+    texts = docs.filter(F.contains("_text", F.lit("\n"))).join(met, same)
+    words = F.flatten(F.transform(F.split(F.col("_text"), "\n"), lambda line, k: F.transform(license_words(line), lambda w: F.struct((k + 1).alias("block"), w.alias("word")))))
+    placed = F.transform(words, lambda w, i: F.struct(w["block"].alias("block"), w["word"].alias("word"), i.alias("place")))
+    hits = F.filter(placed, lambda w: F.array_contains("t_tokens", w["word"]) & ~F.array_contains("_met", w["block"]))
+
+    def run(hs: Column, h: Column, i: Column) -> Column:
+        inside = F.filter(F.slice(hs, i + 1, F.col("t_words")), lambda x: x["place"] < h["place"] + F.col("t_words"))
+        return F.struct(
+            h["block"].alias("block"),
+            F.array_max(F.transform(inside, lambda x: x["block"])).alias("last"),
+            F.size(F.array_distinct(F.transform(inside, lambda x: x["word"]))).alias("shared"),
+        )
+
+    # The hits stand in an array of one, so that they are computed once a text.
+    runs = F.flatten(F.transform(F.array(hits), lambda hs: F.transform(hs, lambda h, i: run(hs, h, i))))
+    wrapped = F.filter(runs, lambda r: (r["shared"] >= F.col("t_need")) & (r["last"] > r["block"]))
+    return (
+        texts.select(*key, "label", F.size("t_tokens").alias("_size"), F.explode(wrapped).alias("_run"))
+        .select(*key, F.col("_run.block").alias("block"), "label", (F.col("_run.shared") / F.col("_size")).alias("containment"))
+    )
+
+
 def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshold: float = 0.8) -> DataFrame:
     """One row per document: word and phrase counts, labels and the best containment."""
     key = ["doc_id", "_hash"]
@@ -153,7 +199,9 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
         )
     )
     blocks = materialise(candidate_blocks(texts, key, templates, threshold), "blocks")
-    found = containment_join(blocks, key, token_order(blocks, templates), templates, threshold)
+    met = materialise(containment_join(blocks, key, token_order(blocks, templates), templates, threshold), "met")
+    wrapped = wrapped_blocks(texts, met, key, templates, threshold)
+    found = met.filter("block > 0").select(*wrapped.columns).unionByName(wrapped)
     by_text = found.groupBy(*key).agg(
         F.sort_array(F.collect_set("label")).alias("_method"),  # at most one entry a template
         F.max("containment").alias("_best"),

@@ -39,3 +39,27 @@ def test_against_brute_force(spark, make_docs):
     got = Counter((r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9)) for r in license_scan(make_docs(rows)).collect())
     assert got == Counter((i, *brute(t)[:-1], round(brute(t)[-1], 9)) for i, t in rows)
     assert license_scan(make_docs([])).count() == 0
+
+
+def test_short_notices(spark, make_docs):
+    texts = {0: "This work is licensed under the GNU General Public License, version 3.", 1: "prose\nAll rights reserved.\nprose", 2: "all the rights of man"}
+    got = {r.doc_id: (r.base_labels, r.labels, r.score, r.n_blocks) for r in license_scan(make_docs(list(texts.items()))).collect()}
+    assert got == {0: ("", "gpl", 1.0, 1), 1: ("", "proprietary", 1.0, 1), 2: ("", "", 0.0, 0)}
+
+
+def test_wrapped_notices(spark, make_docs):
+    gpl = next(t for label, t in TEMPLATES if label == "gpl").split()
+    texts = [
+        "# All rights\n# reserved.",
+        "a\n" + " * ".join(w + ("\n" if k % 4 == 3 else " ") for k, w in enumerate(gpl)) + "\nb",
+        "\n".join(gpl),
+        "All\nof us have\nrights, and a table is\nreserved.",
+        "All rights reserved.\nAll rights\nreserved.",
+        "released under the mit license\nunder a tree",
+    ]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, texts[0])] * 2
+    got = [(r.doc_id, r.labels, r.score) for r in license_scan(make_docs(rows)).collect()]
+    want = ["proprietary", "gpl,lgpl", "gpl,lgpl", "", "proprietary", "mit"]  # at 80 %, as on one line
+    assert Counter(got) == Counter([(k, w, 1.0 if w else 0.0) for k, w in enumerate(want)] + [(None, "proprietary", 1.0)] * 2)
+    n = {r.doc_id: r.n_blocks for r in license_scan(make_docs(rows)).collect()}
+    assert (n[0], n[3], n[4], n[5]) == (1, 0, 2, 1) and n[1] > 0
