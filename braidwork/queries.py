@@ -319,7 +319,7 @@ def _star(spark, sf_dir) -> match.Tables:
         "IN_REGION": ends(t("nation"), "n_nationkey", "n_regionkey", "Nation", "Region"),
         "LIVES_IN": _lives_in(spark, sf_dir),
         "PLACED": ends(t("orders"), "o_custkey", "o_orderkey", "Customer", "Order", F.col("o_orderpriority").alias("orderPriority")),
-        "HAS_PART": ends(t("lineitem").filter("l_quantity >= 45"), "l_orderkey", "l_partkey", "Order", "Part", F.col("l_quantity").cast("long").cast("string").alias("quantity")),
+        "HAS_PART": ends(t("lineitem"), "l_orderkey", "l_partkey", "Order", "Part", F.col("l_quantity").cast("long").cast("string").alias("quantity")),
         "SAME_NATION": ends(t("customer").withColumn("other", F.col("c_custkey") + 25), "c_custkey", "other", "Customer", "Customer"),
     }
     return match.Tables(GRAPH, nodes, edges)
@@ -333,7 +333,7 @@ def match_3hop(spark, sf_dir):
 
 def match_optional(spark, sf_dir):
     h = match.Hop
-    rows = match.match(_star(spark, sf_dir), "Customer", "c", [[h("c", "PLACED", "Order", "o", where=F.col("`o.orderStatus`") == "F"), h("o", "HAS_PART", "Part", "p", where=F.col("`p.brand`") == "Brand#11")]], F.col("`c.marketSegment`") == "BUILDING")
+    rows = match.match(_star(spark, sf_dir), "Customer", "c", [[h("c", "PLACED", "Order", "o", where=F.col("`o.orderStatus`") == "F"), h("o", "HAS_PART", "Part", "p", where=F.col("`p.brand`") == "Brand#11", edge_where=F.col("`p.rel.quantity`").cast("long") >= 45)]], F.col("`c.marketSegment`") == "BUILDING")
     return rows.groupBy(F.col("`c.id`").alias("customer")).agg(F.count("`p.id`").alias("n_parts"), F.max("`p.rel.quantity`").alias("most"))
 
 
@@ -343,7 +343,7 @@ def match_self(spark, sf_dir):
 
 
 def match_contains(spark, sf_dir):
-    rows = match.match(_star(spark, sf_dir), "Part", "p", [match.Hop("p", "HAS_PART", "Order", "o", back=True)], F.lower("`p.name`").contains("gear"))
+    rows = match.match(_star(spark, sf_dir), "Part", "p", [match.Hop("p", "HAS_PART", "Order", "o", back=True, edge_where=F.col("`o.rel.quantity`").cast("long") >= 45)], F.lower("`p.name`").contains("gear"))
     return match.report(rows, {"partId": "p.id", "orderId": "o.id", "quantity": "o.rel.quantity"}, 50)
 
 
