@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Cells that mean "missing", compared without case after trimming.
 PLACEHOLDERS = ("na", "n/a", "null", "none", "--", "unknown", "not reported", "not available", "'--")
 
+# The characters that count as white space at the ends of a cell.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
@@ -17,8 +20,9 @@ def blank(c: Column) -> Column:
 
 
 def scrub(c: Column, placeholders=PLACEHOLDERS) -> Column:
-    """Trimmed text; placeholders and null become empty."""
-    text = F.regexp_replace(blank(c), r"(?U)^\s+|\s+$", "")
+    """Trimmed text; placeholders and null become empty. The trim is no regular expression,
+    since Spark copies this expression into filters and tests of the same cell."""
+    text = F.btrim(blank(c), F.lit(WHITE))
     return F.when(F.lower(text).isin([p.lower() for p in placeholders]), F.lit("")).otherwise(text) if placeholders else text
 
 

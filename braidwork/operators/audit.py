@@ -38,9 +38,10 @@ def known_ids(nodes: dict[str, DataFrame], graph: Graph, *references: dict[str,
     return None if out is None else out.filter("id <> ''").distinct()
 
 
-def dangling_endpoints(edges: DataFrame, name: str, ids: DataFrame) -> DataFrame:
+def dangling_endpoints(edges: DataFrame, name: str, ids: DataFrame, loaded: set[str] | None = None) -> DataFrame:
     """Ends of edges whose label has no table, or whose id that table lacks. Ends are
-    counted before they are joined, so a popular id is looked up once a task."""
+    counted before they are joined, so a popular id is looked up once a task. ``loaded``
+    names the labels that have a table; without it they are read from ``ids``."""
     ends = edges.select(
         F.explode(
             F.array(
@@ -51,9 +52,12 @@ def dangling_endpoints(edges: DataFrame, name: str, ids: DataFrame) -> DataFrame
     ).select("e.*")
     counted = ends.groupBy("key", "label", "id").agg(F.count("*").alias("c"))
     lost = counted.join(ids, ["label", "id"], "left_anti")
-    labels = ids.select("label").distinct().withColumn("loaded", F.lit(True))
+    if loaded is None:
+        labels = ids.select("label").distinct().withColumn("loaded", F.lit(True))
+        out = lost.join(labels, "label", "left")
+    else:
+        out = lost.withColumn("loaded", F.col("label").isin(sorted(loaded)) if loaded else F.lit(False))
     kind = F.when(F.col("loaded"), F.lit("dangling")).otherwise(F.lit("label not loaded"))
-    out = lost.join(labels, "label", "left")
     return out.select(F.lit(name).alias("table"), "key", kind.alias("kind"), F.concat_ws(":", "label", "id").alias("value"), F.col("c").alias("n"))
 
 
@@ -71,10 +75,11 @@ def problems(graph: Graph, nodes: dict[str, DataFrame], edges: dict[str, DataFra
     ids = known_ids(nodes, graph, *references)
     if ids is None:
         ids = spark.createDataFrame([], "label string, id string")
+    loaded = {label for t in (nodes, *references) for label, df in t.items() if label in graph.nodes and graph.nodes[label].key in df.columns}
     for name, df in edges.items():
         if name not in graph.edges:
             fixed.append((name, "", "edge type not declared", "", 1))
-        parts.append(dangling_endpoints(df, name, ids))
+        parts.append(dangling_endpoints(df, name, ids, loaded))
     out = spark.createDataFrame(fixed, PROBLEM)
     for p in parts:
         out = out.unionByName(p)
@@ -112,10 +117,16 @@ def endpoint_preflight(graph: Graph, nodes: dict[str, DataFrame], edges: dict[st
 
 
 def verify_manifest(spark: SparkSession, folder: str, manifest: DataFrame, checksums: bool = False) -> DataFrame:
-    """id, filename and status of each manifest entry against the landed files."""
+    """The status of each manifest entry against the files below a folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     digest = F.md5("content") if checksums else F.lit(None).cast("string")  # contents are read only if asked for
     landed = files.select(F.element_at(F.split("path", "/"), -2).alias("id"), F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("landed_size"), digest.alias("landed_md5"))
+    return compare_manifest(manifest, landed, checksums)
+
+
+def compare_manifest(manifest: DataFrame, landed: DataFrame, checksums: bool = False) -> DataFrame:
+    """id, filename and status of each entry; ``landed`` has id, filename, landed_size and
+    landed_md5."""
     status = (
         F.when(F.col("landed_size").isNull(), "missing")
         .when(F.col("landed_size") != F.col("size").cast("long"), "size mismatch")

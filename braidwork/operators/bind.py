@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from braidwork.functions.text import PLACEHOLDERS, blank, is_zero, mint_id, scrub, strip_prefix
-from braidwork.plans.names import Resolver
+from braidwork.plans.names import Columns
 from braidwork.plans.schema import Binding, Graph, Profile
+from braidwork.sources.readers import ORDER_AT
 
 #: Label: the source columns of its minted id and the function that builds it.
 KEY_BUILDERS: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = {
@@ -54,19 +55,19 @@ def _key(df: DataFrame, label: str, column: str | None, prefix: str | None, plac
     return strip_prefix(scrub(quoted(column), placeholders), prefix)
 
 
-def _resolver(df: DataFrame, binding: Binding, profile: Profile | None) -> Resolver:
+def _columns(df: DataFrame, binding: Binding, profile: Profile | None) -> Columns:
     headers = [c for c in df.columns if not c.startswith("_order")]
-    return Resolver(
+    return Columns(
         headers, binding.overrides, binding.aliases, profile.aliases if profile else None, profile.shared_aliases if profile else None,
         binding.header_prefixes or (profile.header_prefixes if profile else ()),
     )
 
 
 def _properties(df: DataFrame, names, binding: Binding, profile: Profile | None, placeholders) -> list[Column]:
-    found = _resolver(df, binding, profile)
+    found = _columns(df, binding, profile)
     out = []
     for p in names:
-        raw = found.resolve(p).column
+        raw = found.find(p).column
         out.append((scrub(quoted(raw), placeholders) if raw else F.lit("")).alias(p))
     return out
 
@@ -80,8 +81,11 @@ def _union(parts: list[DataFrame]) -> DataFrame | None:
 
 def _ordered(df: DataFrame, number: int, order: str | list[str] | None) -> tuple[DataFrame, list[str]]:
     """Adds the order of a source's rows: its place in the list, then ``order``, or the
-    row's place in the file as Spark reads it."""
+    place in its file of a table read with ``ordered``, or else the order in which Spark
+    reads the rows."""
     names = [order] if isinstance(order, str) else list(order or ())
+    if not names and ORDER_AT in df.columns:
+        names = [ORDER_AT]
     by = [quoted(c) for c in names] or [F.monotonically_increasing_id()]
     return df.withColumns({"_order0": F.lit(number), "_order1": F.struct(*[b.alias(f"o{k}") for k, b in enumerate(by)])}), ["_order0", "_order1"]
 
@@ -147,10 +151,10 @@ def binding_report(graph: Graph, profile: Profile, sources: dict[str, DataFrame]
                 continue
             df = sources[source]
             spark = df.sparkSession
-            found = _resolver(df, b, profile)
+            found = _columns(df, b, profile)
             used = {k for k in b.keys if k}
             for p in declared.properties:
-                m = found.resolve(p)
+                m = found.find(p)
                 rows.append((kind, b.name, source, "property", p, m.column, m.strategy))
                 if m.column:
                     used.add(m.column)

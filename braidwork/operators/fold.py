@@ -14,18 +14,25 @@ EDGE_KEY = ["startLabel", "startId", "endLabel", "endId"]
 
 
 def _fold(existing: DataFrame | None, batch: DataFrame, keys: list[str], order: str | None) -> DataFrame:
-    """Per key and property the last non-empty value; the batch comes after what exists."""
-    parts = []
-    for number, df in enumerate((existing, batch)):
-        if df is not None:
-            at = F.col(order) if order and order in df.columns else F.lit(None)
-            parts.append((df, F.struct(F.lit(number).alias("n"), at.cast("string").alias("at") if order is None else at.cast("long").alias("at"))))
-    props = [c for c in dict.fromkeys(c for df, _ in parts for c in df.columns) if c not in keys and c != order]
-    rows = None
-    for df, seq in parts:
-        part = df.select(*keys, *[(quoted(p) if p in df.columns else F.lit(None).cast("string")).alias(p) for p in props], seq.alias("_seq"))
-        rows = part if rows is None else rows.unionByName(part)
-    last = lambda p: F.max_by(quoted(p), F.when(blank(quoted(p)) != "", F.col("_seq"))).alias(p)
+    """Per key and property the last non-empty value; the batch comes after what exists.
+
+    ``order`` is a column of the batch that says which of its rows is later. Values that
+    share a place, or have none because no order was given, are settled by the greatest, so
+    the result never depends on how the rows are dealt out.
+    """
+    own = [c for c in batch.columns if c not in keys and c != order]
+    props = list(dict.fromkeys([*([c for c in existing.columns if c not in keys and c != order] if existing is not None else []), *own]))
+    at = quoted(order) if order else F.lit(None).cast("long")
+    kind = batch.schema[order].dataType if order else "long"
+
+    def part(df: DataFrame, number: int, place: Column) -> DataFrame:
+        cells = [(quoted(p) if p in df.columns else F.lit(None).cast("string")).alias(p) for p in props]
+        return df.select(*keys, *cells, F.lit(number).alias("_part"), place.alias("_at"))
+
+    rows = part(batch, 1, at)
+    if existing is not None:
+        rows = part(existing, 0, F.lit(None).cast(kind)).unionByName(rows)
+    last = lambda p: F.max_by(quoted(p), F.when(blank(quoted(p)) != "", F.struct("_part", "_at", quoted(p)))).alias(p)
     return rows.groupBy(*keys).agg(*[last(p) for p in props]) if props else rows.select(*keys).distinct()
 
 
@@ -34,25 +41,37 @@ def upsert_nodes(existing: DataFrame | None, batch: DataFrame, key: str, order:
     return _fold(existing, batch.filter(blank(F.col(key)) != ""), [key], order)
 
 
-def _with_ends(batch: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Edges with both ends in ids (left_semi each), by two joins."""
-    start = ids.select(F.col("label").alias("startLabel"), F.col("id").alias("startId"))
-    end = ids.select(F.col("label").alias("endLabel"), F.col("id").alias("endId"))
-    return batch.join(start, ["startLabel", "startId"], how).join(end, ["endLabel", "endId"], how)
+def _ends(edges: DataFrame) -> DataFrame:
+    """The distinct (label, id) that edges name, blank ids included. They are reduced
+    before the shuffle, so a popular end is sent once a task."""
+    end = lambda side: F.struct(F.col(f"{side}Label").alias("label"), F.col(f"{side}Id").alias("id"))
+    return edges.select(F.inline(F.array(end("start"), end("end")))).distinct()
+
+
+def _marked(batch: DataFrame, ids: DataFrame) -> DataFrame:
+    """The batch with ``_lost``: whether an end is blank or unknown.
+
+    Edges aren't joined with all ids but with the ends that turn out unknown; where those
+    are few, Spark broadcasts them and the edges aren't shuffled for it at all.
+    """
+    unknown = _ends(batch).join(ids, ["label", "id"], "left_anti").withColumn("_no", F.lit(True))
+    out = batch
+    for side in ("start", "end"):
+        named = unknown.select(F.col("label").alias(f"_{side}_label"), F.col("id").alias(f"_{side}_id"), F.col("_no").alias(f"_{side}_no"))
+        same = F.col(f"{side}Label").eqNullSafe(F.col(f"_{side}_label")) & F.col(f"{side}Id").eqNullSafe(F.col(f"_{side}_id"))
+        out = out.join(named, same, "left").drop(f"_{side}_label", f"_{side}_id")
+    return out.withColumn("_lost", F.col("_start_no").isNotNull() | F.col("_end_no").isNotNull()).drop("_start_no", "_end_no")
 
 
 def upsert_edges(existing: DataFrame | None, batch: DataFrame, ids: DataFrame, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The folded edges and the edges that were dropped because an end is blank or
     unknown. ``ids`` has the distinct (label, id) of the graph."""
-    return _fold(existing, _with_ends(batch, ids, "left_semi"), EDGE_KEY, order), dropped_edges(batch, ids)
+    marked = _marked(batch, ids)
+    return _fold(existing, marked.filter("not _lost").drop("_lost"), EDGE_KEY, order), marked.filter("_lost").drop("_lost")
 
 
 def dropped_edges(batch: DataFrame, ids: DataFrame) -> DataFrame:
-    marked = ids.withColumn("_known", F.lit(True))
-    start = marked.select(F.col("label").alias("startLabel"), F.col("id").alias("startId"), F.col("_known").alias("_s"))
-    end = marked.select(F.col("label").alias("endLabel"), F.col("id").alias("endId"), F.col("_known").alias("_e"))
-    both = batch.join(start, ["startLabel", "startId"], "left").join(end, ["endLabel", "endId"], "left")
-    return both.filter("_s is null or _e is null").drop("_s", "_e").select(*batch.columns)
+    return _marked(batch, ids).filter("_lost").drop("_lost")
 
 
 def extra_labels(node: Node) -> Column:

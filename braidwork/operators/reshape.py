@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from braidwork.functions.text import strip_version
 from braidwork.operators.omics import EXPRESSION, METHYLATION, VARIATION
-from braidwork.sources.readers import path_exists
+from braidwork.sources.readers import path_exists, text_lines
 
 _SHAPES = {
     "expression": (EXPRESSION, "expression_observation_id", "gene_id", "expression_value", "expression_unit"),
@@ -35,18 +35,20 @@ def odd_features(features: DataFrame, column: str) -> DataFrame:
     return features.select(F.trim(column).alias("feature")).filter("feature <> '' and not startswith(feature, 'ENS')").distinct()
 
 
-def melt_lines(lines: DataFrame, header: list[str], label: str, kind: str = "other", rows_are: str = "features", ignore=()) -> DataFrame:
+def melt_lines(lines: DataFrame, header: list[str], label: str, kind: str = "other", rows_are: str = "features", ignore=(), deal: int = 0) -> DataFrame:
     """(sample_id, feature_id, value) of the non-blank cells of a matrix.
 
     ``lines`` has the data lines as ``value``; short lines are read as far as they go.
+    ``deal`` spreads the lines evenly over that many tasks first; 0 leaves them where they
+    are read.
     """
     at = header.index(label)
     heads = lines.sparkSession.createDataFrame([(k, h) for k, h in enumerate(header) if k != at and h not in ignore], "pos int, head string")
     cells = lines.select(F.split("value", "\t").alias("cells")).filter(F.size("cells") > at)
     row = _bare(F.get("cells", F.lit(at)))
     named = cells.select(F.trim(row).alias("row"), "cells").filter("row <> ''")
-    # Lines of a wide matrix are few and long: they are dealt out before they are exploded.
-    long = named.repartition("row").select("row", F.posexplode("cells").alias("pos", "cell"))
+    # A wide matrix of few lines has few splits: its lines are dealt out before the explode.
+    long = (named.repartition(deal) if deal else named).select("row", F.posexplode("cells").alias("pos", "cell"))
     long = long.join(heads, "pos").select("row", F.trim("head").alias("head"), _bare(F.col("cell")).alias("value")).filter(F.trim("value") != "")
     sample, feature = ("head", "row") if rows_are == "features" else ("row", "head")
     return long.select(F.col(sample).alias("sample_id"), feature_id(F.col(feature), kind).alias("feature_id"), "value").filter("feature_id <> ''")
@@ -86,15 +88,18 @@ def melt_matrix(spark: SparkSession, path: str, spec: dict, known: DataFrame | N
     """Observations of a declared matrix, its unknown samples, and why it was skipped."""
     if not path_exists(spark, path):
         return None, None, "source not found"
-    lines = spark.read.text(path)
-    first = lines.filter("value <> ''").first()
+    lines = text_lines(spark, path)
+    # The header is the first line of the first part of the file; later equals are data.
+    first = lines.filter("at.block = 0 and value <> ''").first()
     header = [h[1:-1] if len(h) > 1 and h[0] == h[-1] == '"' else h for h in first["value"].split("\t")] if first else []
     label = spec["feature_id_column"]
     if label not in header:
         return None, None, f"label column {label} not in header"
-    data = lines.filter(F.col("value") != first["value"])
+    data = lines.filter((F.col("at.block") > 0) | (F.col("at.line") > first["at"]["line"]))
+    tasks = spark.sparkContext.defaultParallelism
+    deal = tasks if data.rdd.getNumPartitions() < tasks else 0
     by_sample = spec.get("orientation") == "samples_x_genes"
-    long = melt_lines(data, header, label, spec.get("feature_id_type", "other"), "samples" if by_sample else "features", tuple(spec.get("ignore_columns") or ()))
+    long = melt_lines(data, header, label, spec.get("feature_id_type", "other"), "samples" if by_sample else "features", tuple(spec.get("ignore_columns") or ()), deal)
     kept, dropped = reconcile_samples(long, known)
     return observations(kept, spec["observation"], spec.get("unit", ""), spec.get("assay"), dataset, spec["input"]), dropped, ""
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from braidwork.operators import audit, bind, fold, reshape
 from braidwork.plans.schema import Graph, Profile
-from braidwork.sources.readers import path_exists, read_graph, resolve_source
+from braidwork.sources.readers import ORDER_AT, path_exists, read_graph, resolve_source
 from braidwork.sources.writers import write_graph
 
 
@@ -41,9 +41,10 @@ def reshape_dataset(spark: SparkSession, graph: Graph, profile: Profile, dataset
 
 def standardise_dataset(spark: SparkSession, graph: Graph, profile: Profile, dataset: str, raw: str, interim: str, out: str, order=None) -> DataFrame:
     """Reshapes, binds and writes a dataset's graph tables; returns the summary with the
-    rows of every table and why others were skipped."""
+    rows of every table and why others were skipped. Without ``order`` the first row of an
+    id is the first by source, file and place in the file."""
     steps = reshape_dataset(spark, graph, profile, dataset, raw, interim)
-    nodes, edges, status = bind.standardise(spark, graph, profile, lambda name: resolve_source(spark, name, interim, raw), order)
+    nodes, edges, status = bind.standardise(spark, graph, profile, lambda name: resolve_source(spark, name, interim, raw, ordered=True), order)
     write_graph(nodes, edges, out)
     status = [("reshape", name, state, why) for name, state, why in steps] + status
     nodes, edges, _ = read_graph(spark, out, graph)
@@ -59,14 +60,15 @@ def validate_dataset(spark: SparkSession, graph: Graph, folder: str, references:
 
 def fold_dataset(spark: SparkSession, graph: Graph, store: str, batch: str, out: str) -> DataFrame:
     """Folds a dataset's graph folder into a stored graph and writes the result to ``out``:
-    nodes first, then edges between nodes that exist. Returns the dropped edges."""
+    nodes first, then edges between nodes that exist. Of a batch's rows with one id the
+    later by file and place wins. Returns the dropped edges."""
     old_nodes, old_edges, _ = read_graph(spark, store, graph)
-    new_nodes, new_edges, _ = read_graph(spark, batch, graph)
-    nodes = {n: fold.upsert_nodes(old_nodes.get(n), new_nodes[n], graph.nodes[n].key) if n in new_nodes else old_nodes[n] for n in dict.fromkeys([*old_nodes, *new_nodes])}
+    new_nodes, new_edges, _ = read_graph(spark, batch, graph, ordered=True)
+    nodes = {n: fold.upsert_nodes(old_nodes.get(n), new_nodes[n], graph.nodes[n].key, ORDER_AT) if n in new_nodes else old_nodes[n] for n in dict.fromkeys([*old_nodes, *new_nodes])}
     ids = audit.known_ids(nodes, graph)
     edges, dropped = dict(old_edges), spark.createDataFrame([], "type string, startId string, endId string, startLabel string, endLabel string")
     for name, df in new_edges.items():
-        edges[name], lost = fold.upsert_edges(old_edges.get(name), df, ids)
+        edges[name], lost = fold.upsert_edges(old_edges.get(name), df, ids, ORDER_AT)
         dropped = dropped.unionByName(lost.select(F.lit(name).alias("type"), "startId", "endId", "startLabel", "endLabel"))
     write_graph(nodes, edges, out)
     return dropped

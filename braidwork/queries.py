@@ -254,7 +254,7 @@ def audit_report(spark, sf_dir):
 def _halves(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     old = c.filter("c_custkey % 3 <> 0").select(F.col("c_custkey").cast("string").alias("customerId"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("marketSegment"))
-    new = c.filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("customerId"), F.when(F.col("c_custkey") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("new "), "c_name")).alias("name"), F.lit(None).cast("string").alias("marketSegment"))
+    new = c.filter("c_custkey % 2 = 0 or c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("customerId"), F.when(F.col("c_custkey") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("new "), "c_name")).alias("name"), F.lit(None).cast("string").alias("marketSegment"))
     return old, new
 
 
@@ -412,8 +412,8 @@ UNION ALL SELECT 'documents', 'id', 'duplicate', id, count(*)::BIGINT - 1 FROM d
     "audit_reference": _DANGLING.format("p_partkey % 4 <> 0 OR p_partkey % 3 = 0"),
     "audit_report": """SELECT 2::BIGINT AS node_types, (SELECT count(*) FROM orders) + (SELECT count(*) FROM part WHERE p_partkey % 4 <> 0) AS node_ids, (SELECT count(*) FROM lineitem) AS edges,
 (SELECT count(*) FROM lineitem WHERE l_partkey % 4 = 0)::BIGINT AS problems""",
-    "upsert_nodes": """SELECT c_custkey::VARCHAR AS "customerId", CASE WHEN c_custkey % 2 = 0 AND c_custkey % 4 <> 0 THEN 'new ' || c_name WHEN c_custkey % 3 <> 0 THEN c_name END AS name,
-CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS "marketSegment" FROM customer WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0""",
+    "upsert_nodes": """SELECT c_custkey::VARCHAR AS "customerId", CASE WHEN (c_custkey % 2 = 0 OR c_custkey % 3 = 0) AND c_custkey % 4 <> 0 THEN 'new ' || c_name WHEN c_custkey % 3 <> 0 THEN c_name END AS name,
+CASE WHEN c_custkey % 3 <> 0 THEN c_mktsegment END AS "marketSegment" FROM customer""",
     "upsert_edges": """SELECT 'Order' AS "startLabel", l_orderkey::VARCHAR AS "startId", 'Part' AS "endLabel", l_partkey::VARCHAR AS "endId", max(l_quantity::BIGINT)::VARCHAR AS quantity FROM lineitem WHERE l_partkey % 4 <> 0 GROUP BY l_orderkey, l_partkey""",
     "dropped_edges": """SELECT l_partkey::VARCHAR AS "endId", count(*)::BIGINT AS n_rows FROM lineitem WHERE l_partkey % 4 = 0 GROUP BY l_partkey""",
     "labels_split": """SELECT 'Part' AS label, CASE WHEN p_brand IN ('Brand#11', 'Brand#22', 'Brand#33', 'Brand#44') THEN p_brand ELSE '' END AS extra_labels, count(*)::BIGINT AS n_rows FROM part GROUP BY 2""",

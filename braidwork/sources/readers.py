@@ -19,6 +19,18 @@ FILE_LAYERS = {
 }
 
 
+#: The column that holds a row's place in its files, in tables read with ``ordered``.
+ORDER_AT = "_order_at"
+
+
+def _placed(df: DataFrame, text: bool) -> DataFrame:
+    """Adds the place of each row: file, start of the file's part, row within it. Where a
+    file is cut, and which task reads a part, doesn't change the order."""
+    row = F.monotonically_increasing_id() if text else F.col("_metadata.row_index")
+    block = F.col("_metadata.file_block_start") if text else F.lit(0).cast("long")
+    return df.withColumn(ORDER_AT, F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"), row.alias("row")))
+
+
 def _hits(df: DataFrame) -> DataFrame:
     """Rows of response pages, or of lines that already hold one record each."""
     if "data" in df.columns and isinstance(df.schema["data"].dataType, T.StructType) and "hits" in df.schema["data"].dataType.names:
@@ -56,7 +68,9 @@ def file_selection(files: DataFrame, layer: str | dict[str, str], project=None,
     return files
 
 
-def _lines(spark: SparkSession, paths) -> DataFrame:
+def text_lines(spark: SparkSession, paths) -> DataFrame:
+    """Lines as (value, file_path, at); ``at`` is the start of the file's part and the place
+    within it."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.text(paths).select(
         "value",
@@ -77,10 +91,9 @@ def _with_header(lines: DataFrame, fields: dict[str, str], is_header: Column | N
     One header row a file is joined back by path.
     """
     cells = lines.withColumn("cells", F.split("value", "\t"))
-    if is_header is None:
-        heads = cells.groupBy("file_path").agg(F.min_by("cells", "at").alias("head"), F.min("at").alias("head_at"))
-    else:
-        heads = cells.filter(is_header).groupBy("file_path").agg(F.min_by("cells", "at").alias("head"), F.min("at").alias("head_at"))
+    # A header stands in the first part of its file, so lines of later parts aren't grouped.
+    could = F.col("at.block") == 0
+    heads = cells.filter(could if is_header is None else could & is_header).groupBy("file_path").agg(F.min_by("cells", "at").alias("head"), F.min("at").alias("head_at"))
     both = cells.join(heads, "file_path", "left").filter(F.col("head_at").isNull() | (F.col("at") != F.col("head_at")))
     if default is not None:
         both = both.withColumn("head", F.coalesce("head", F.array(*[F.lit(d) for d in default])))
@@ -92,9 +105,14 @@ def _with_header(lines: DataFrame, fields: dict[str, str], is_header: Column | N
 
 
 def read_star_counts(spark: SparkSession, paths) -> DataFrame:
-    """Gene counts: blank, # and N_ lines are skipped, short rows dropped."""
+    return star_counts(text_lines(spark, paths))
+
+
+def star_counts(lines: DataFrame) -> DataFrame:
+    """Gene counts of lines (value, file_path, at): blank, # and N_ lines are skipped, short
+    rows dropped."""
     first = F.split_part("value", F.lit("\t"), F.lit(1))
-    lines = _lines(spark, paths).filter((F.trim("value") != "") & ~F.col("value").startswith("#") & ~first.startswith("N_"))
+    lines = lines.filter((F.trim("value") != "") & ~F.col("value").startswith("#") & ~first.startswith("N_"))
     names = ("gene_id", "gene_name", "gene_type", "unstranded", "tpm_unstranded", "fpkm_unstranded")
     return _with_header(lines, {n: n for n in names}, None, None)
 
@@ -103,8 +121,12 @@ BETA_FIELDS = {"probe": "Composite Element REF", "beta_value": "Beta_value", "ch
 
 
 def read_beta_values(spark: SparkSession, paths) -> DataFrame:
+    return beta_values(text_lines(spark, paths))
+
+
+def beta_values(lines: DataFrame) -> DataFrame:
     """Beta values in the annotated layout, or as headerless probe and beta."""
-    lines = _lines(spark, paths).filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    lines = lines.filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
     return _with_header(lines, BETA_FIELDS, F.col("value").startswith("Composite Element REF"), 2, ["Composite Element REF", "Beta_value"])
 
 
@@ -117,15 +139,27 @@ MAF_FIELDS = {
 
 
 def read_maf(spark: SparkSession, paths) -> DataFrame:
-    """Mutation files, plain or gzip; # lines are skipped and the next is the header."""
-    lines = _lines(spark, paths).filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    """Mutation files, plain or gzip."""
+    return maf_calls(text_lines(spark, paths))
+
+
+def maf_calls(lines: DataFrame) -> DataFrame:
+    """Mutation calls: # lines are skipped and the next is the header."""
+    lines = lines.filter((F.trim("value") != "") & ~F.col("value").startswith("#"))
     return _with_header(lines, MAF_FIELDS, None, 2)
 
 
-def read_raw_table(spark: SparkSession, path: str) -> DataFrame:
-    """A headed text table: tabs for .tsv and .tab, else commas; all text, in file order."""
+def read_raw_table(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+    """A headed text table: tabs for .tsv and .tab, else commas; all text. ``ordered`` adds
+    the place of each row."""
     sep = "\t" if path.rstrip("/").rsplit(".", 1)[-1] in ("tsv", "tab") else ","
-    return spark.read.csv(path, header=True, sep=sep, escape='"', quote='"', inferSchema=False).na.fill("")
+    out = spark.read.csv(path, header=True, sep=sep, escape='"', quote='"', inferSchema=False)
+    return (_placed(out, True) if ordered else out).na.fill("")
+
+
+def _read_parquet(spark: SparkSession, path: str, ordered: bool) -> DataFrame:
+    out = spark.read.parquet(path)
+    return _placed(out, False) if ordered else out
 
 
 def read_patient_survival(spark: SparkSession, paths) -> DataFrame:
@@ -145,17 +179,17 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def resolve_source(spark: SparkSession, name: str, interim: str, raw: str) -> DataFrame | None:
+def resolve_source(spark: SparkSession, name: str, interim: str, raw: str, ordered: bool = False) -> DataFrame | None:
     """The table of a name: interim before raw, Parquet before text; None if absent."""
     for folder in (interim, raw):
         if path_exists(spark, f"{folder}/{name}.parquet"):
-            return spark.read.parquet(f"{folder}/{name}.parquet")
+            return _read_parquet(spark, f"{folder}/{name}.parquet", ordered)
         if path_exists(spark, f"{folder}/{name}"):
-            return spark.read.parquet(f"{folder}/{name}") if name.endswith(".parquet") else read_raw_table(spark, f"{folder}/{name}")
+            return _read_parquet(spark, f"{folder}/{name}", ordered) if name.endswith(".parquet") else read_raw_table(spark, f"{folder}/{name}", ordered)
     return None
 
 
-def read_graph(spark: SparkSession, folder: str, known=None) -> tuple[dict[str, DataFrame], dict[str, DataFrame], list[str]]:
+def read_graph(spark: SparkSession, folder: str, known=None, ordered: bool = False) -> tuple[dict[str, DataFrame], dict[str, DataFrame], list[str]]:
     """Node tables by label, edge tables by type, and the names that ``known`` lacks."""
     out, unknown = ({}, {}), []
     for kind, tables in zip(("nodes", "edges"), out, strict=True):
@@ -165,5 +199,5 @@ def read_graph(spark: SparkSession, folder: str, known=None) -> tuple[dict[str,
                 unknown.append(f"{kind}/{name}")
                 continue
             path = f"{folder}/{kind}/{entry}"
-            tables[name] = spark.read.csv(path, header=True, escape='"').na.fill("") if entry.endswith(".csv") else spark.read.parquet(path)
+            tables[name] = read_raw_table(spark, path, ordered) if entry.endswith(".csv") else _read_parquet(spark, path, ordered)
     return *out, unknown

@@ -1,36 +1,40 @@
 from collections import Counter
 
+import pytest
+
+from braidwork.operators import bind
 from braidwork.plans import pipeline
 from braidwork.plans.schema import Graph, Profile
+from braidwork.sources import readers
 
 GRAPH = Graph.of(
     {
-        "Subject": {"id": "subjectId", "properties": ["sexAtBirth"]}, "Sample": {"id": "sampleId", "properties": ["sampleType"]},
+        "Farm": {"id": "farmId", "properties": ["trade"]}, "Sample": {"id": "sampleId", "properties": ["soil"]},
         "ExpressionObservation": {"id": "expressionObservationId", "properties": [{"expressionValue": "float"}]}, "Gene": {"id": "geneId", "properties": []},
         "Variant": {"id": "variantId", "properties": ["chromosome"]}, "VariantObservation": {"id": "variantObservationId", "properties": []},
     },
     {
-        "PROVIDED_SAMPLE": {"pairs": [["Subject", "Sample"]]}, "HAS_EXPRESSION_OBSERVATION": {"pairs": [["Sample", "ExpressionObservation"]]},
+        "HOLDS_PLOT": {"pairs": [["Farm", "Sample"]]}, "HAS_EXPRESSION_OBSERVATION": {"pairs": [["Sample", "ExpressionObservation"]]},
         "MEASURES_GENE": {"pairs": [["ExpressionObservation", "Gene"]]}, "OBSERVED_VARIANT": {"pairs": [["VariantObservation", "Variant"]]},
         "IS_WITHIN_GENE": {"pairs": [["Variant", "Gene"]]},
     },
 )
 
 PROFILE = {
-    "aliases": {"sex": "sexAtBirth"},
+    "aliases": {"work": "trade"},
     "reshape": [
-        {"type": "matrix", "input": "e.tsv", "output": "expression_observation.tsv", "observation": "expression", "feature_id_column": "gene_id", "feature_id_type": "ensembl", "unit": "TPM"},
-        {"type": "vcf", "input": "v.vcf", "output": "variation_observation.tsv", "gene_edge_output": "variant_gene.tsv"},
-        {"type": "matrix", "input": "gone.tsv", "output": "methylation_observation.tsv", "observation": "methylation", "feature_id_column": "x"},
+        {"type": "matrix", "input": "crop.tsv", "output": "expression_observation.tsv", "observation": "expression", "feature_id_column": "gene_id", "feature_id_type": "ensembl", "unit": "TPM"},
+        {"type": "vcf", "input": "calls.vcf", "output": "variation_observation.tsv", "gene_edge_output": "variant_gene.tsv"},
+        {"type": "matrix", "input": "lost.tsv", "output": "methylation_observation.tsv", "observation": "methylation", "feature_id_column": "x"},
     ],
     "nodes": {
-        "Subject": {"file": "meta.tsv", "key": "subject_id"}, "Sample": {"file": "meta.tsv", "key": "sample_id"},
+        "Farm": {"file": "fields.tsv", "key": "subject_id"}, "Sample": {"file": "fields.tsv", "key": "sample_id"},
         "ExpressionObservation": {"file": "expression_observation.tsv", "key": "expression_observation_id", "dedup": False},
         "Gene": {"file": ["expression_observation.tsv", "variant_gene.tsv"], "key": "gene_id"},
         "Variant": {"file": "variation_observation.tsv", "key": "variant_id"}, "VariantObservation": {"file": "variation_observation.tsv", "key": "variant_observation_id"},
     },
     "edges": {
-        "PROVIDED_SAMPLE": {"file": "meta.tsv", "pair": ["Subject", "Sample"], "start_key": "subject_id", "end_key": "sample_id"},
+        "HOLDS_PLOT": {"file": "fields.tsv", "pair": ["Farm", "Sample"], "start_key": "subject_id", "end_key": "sample_id"},
         "HAS_EXPRESSION_OBSERVATION": {"file": "expression_observation.tsv", "pair": ["Sample", "ExpressionObservation"], "start_key": "sample_id", "end_key": "expression_observation_id", "dedup": False},
         "MEASURES_GENE": {"file": "expression_observation.tsv", "pair": ["ExpressionObservation", "Gene"], "start_key": "expression_observation_id", "end_key": "gene_id"},
         "OBSERVED_VARIANT": {"file": "variation_observation.tsv", "pair": ["VariantObservation", "Variant"], "start_key": "variant_observation_id", "end_key": "variant_id"},
@@ -42,17 +46,17 @@ PROFILE = {
 def test_from_files_to_a_clean_graph(session, tmp_path):
     raw, interim, out = (str(tmp_path / n) for n in ("raw", "interim", "out"))
     (tmp_path / "raw").mkdir()
-    (tmp_path / "raw" / "meta.tsv").write_text("sample_id\tsubject_id\tsex\tsample_type\nS1\tP1\tmale\ttumor\nS2\tP1\tNA\t--\n")
-    (tmp_path / "raw" / "e.tsv").write_text("gene_id\tS1\tS2\tGHOST\nENSG1.2\t0\t1.5\t9\nENSG2.1\t2\t\t9\n")
-    (tmp_path / "raw" / "v.vcf").write_text(
-        '##INFO=<ID=CSQ,Description="Format: Allele|Gene">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tS1\tS2\n1\t5\t.\tA\tG,C\t.\tPASS\tCSQ=G|ENSG9.1,C|ENSG8\tGT\t0/1\t0/0\n'
+    (tmp_path / "raw" / "fields.tsv").write_text("sample_id\tsubject_id\twork\tground\nnorth\tK4\tdairy\tclay\nsouth\tK4\tunknown\tnone\n")
+    (tmp_path / "raw" / "crop.tsv").write_text("gene_id\tnorth\tsouth\tunlisted\nENSG71.5\t0\t3.25\t4\nENSG86.3\t11\t\t4\n")
+    (tmp_path / "raw" / "calls.vcf").write_text(
+        '##INFO=<ID=CSQ,Description="Format: Allele|Gene">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tnorth\tsouth\n7\t940\t.\tC\tT,A\t.\tPASS\tCSQ=T|ENSG55.2,A|ENSG56\tGT\t0|1\t0/0\n'
     )
     profile = Profile.of("p", {"p": PROFILE}.__getitem__)
     summary = {(r.kind, r.name): (r.status, r.n_rows) for r in pipeline.standardise_dataset(session, GRAPH, profile, "D", raw, interim, out).collect()}
-    # The zero of ENSG1 in S1 is no observation; the ghost sample and the allele nobody carries are gone.
+    # The zero of ENSG71 in north is no observation; the unlisted sample and the allele nobody carries are gone.
     assert summary["node", "ExpressionObservation"] == ("bound", 2) and summary["node", "Gene"] == ("bound", 3)
-    assert summary["node", "Subject"] == ("bound", 1) and summary["edge", "IS_WITHIN_GENE"] == ("bound", 1) and summary["node", "Variant"] == ("bound", 1)
-    assert summary["reshape", "gone.tsv"][0] == "skipped" and summary["reshape", "e.tsv"][0] == "reshaped"
+    assert summary["node", "Farm"] == ("bound", 1) and summary["edge", "IS_WITHIN_GENE"] == ("bound", 1) and summary["node", "Variant"] == ("bound", 1)
+    assert summary["reshape", "lost.tsv"][0] == "skipped" and summary["reshape", "crop.tsv"][0] == "reshaped"
     report = pipeline.validate_dataset(session, GRAPH, out).first()
     assert report.problems == 0 and report.node_types == 6 and report.unknown_tables == ""
     store = str(tmp_path / "store")
@@ -60,3 +64,33 @@ def test_from_files_to_a_clean_graph(session, tmp_path):
     assert dropped.count() == 0
     again = pipeline.validate_dataset(session, GRAPH, store).first()
     assert Counter(again.asDict()) == Counter(report.asDict())
+
+
+@pytest.mark.parametrize("split", ["64", "128m"])
+def test_row_order_of_several_files(session, tmp_path, split):
+    """First-wins and later-overrides follow file and line, however the files are cut."""
+    raw, interim, out = (str(tmp_path / n) for n in ("raw", "interim", "out"))
+    (tmp_path / "raw" / "fields.tsv").mkdir(parents=True)
+    for name in ("b", "a"):
+        lines = "".join(f"s{k % 5}\tK{k % 3}\t{name}{k:02}\tsand\n" for k in range(40))
+        (tmp_path / "raw" / "fields.tsv" / f"{name}.tsv").write_text("sample_id\tsubject_id\twork\tground\n" + lines)
+    base = {"aliases": {"work": "trade"}, "nodes": {"Farm": {"file": "fields.tsv", "key": "subject_id"}}}
+    before = session.conf.get("spark.sql.files.maxPartitionBytes")
+    session.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        pipeline.standardise_dataset(session, GRAPH, Profile.of("p", {"p": base}.__getitem__), "D", raw, interim, out).collect()
+        got = {tuple(r) for r in session.read.parquet(f"{out}/nodes/Farm.parquet").select("farmId", "trade").collect()}
+        assert got == {("K0", "a00"), ("K1", "a01"), ("K2", "a02")}
+        every = Profile.of("p", {"p": {**base, "nodes": {"Farm": {**base["nodes"]["Farm"], "dedup": False}}}}.__getitem__)
+        nodes, _, _ = bind.standardise(session, GRAPH, every, lambda name: readers.resolve_source(session, name, interim, raw, ordered=True))
+        batch = str(tmp_path / "batch")
+        (tmp_path / "batch" / "nodes" / "Farm.csv").mkdir(parents=True)
+        (tmp_path / "batch" / "edges").mkdir()
+        for name in ("b", "a"):
+            (tmp_path / "batch" / "nodes" / "Farm.csv" / f"{name}.csv").write_text("farmId,trade\n" + "".join(f"K{k % 3},{name}{k:02}\n" for k in range(40)) + "K9,\n")
+        pipeline.fold_dataset(session, GRAPH, out, batch, str(tmp_path / "store"))
+        assert nodes["Farm"].count() == 80
+        got = {tuple(r) for r in session.read.parquet(str(tmp_path / "store" / "nodes" / "Farm.parquet")).select("farmId", "trade").collect()}
+        assert got == {("K0", "b39"), ("K1", "b37"), ("K2", "b38"), ("K9", None)}
+    finally:
+        session.conf.set("spark.sql.files.maxPartitionBytes", before)

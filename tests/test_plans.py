@@ -1,30 +1,42 @@
 import pytest
 
-from braidwork.plans.names import Resolver, camel, plain
+from braidwork.plans.names import Columns, camel, plain
 from braidwork.plans.schema import Graph, Profile
 
 
 def test_names():
-    assert [camel(x) for x in ("sample_type", "Sample type", "sampleType", "days_to.event", "", "__x")] == ["sampleType", "sampleType", "sampleType", "daysToEvent", "", "x"]
-    assert plain("Num CpG-Sites") == "numcpgsites"
+    given = ("plot_soil", "Plot soil", "plotSoil", "days_to.harvest", "", "__q", "9 lives_left")
+    assert [camel(x) for x in given] == ["plotSoil", "plotSoil", "plotSoil", "daysToHarvest", "", "q", "9LivesLeft"]
+    assert plain("Num PH-Tests") == "numphtests"
 
 
-def test_layers_in_order():
-    r = Resolver(["case_id", "demographic.race", "num_cpg_sites", "sex", "o", "t_age", "age"], overrides={"a": "o", "b": "gone"}, node_aliases={"sex": "sexAtBirth"}, profile_aliases={"case_id": "subjectId"}, shared_aliases={"sex": "other", "age": "years"}, prefixes=("t_",))
-    got = {p: (r.resolve(p).column, r.resolve(p).strategy) for p in ("a", "b", "sexAtBirth", "subjectId", "years", "other", "caseId", "numCpGSites", "race", "age", "nothing")}
-    assert got == {
-        "a": ("o", "override"), "b": (None, "unmatched"), "sexAtBirth": ("sex", "alias"), "subjectId": ("case_id", "alias"), "years": ("age", "shared_alias"),
-        "other": (None, "unmatched"), "caseId": ("case_id", "camel"), "numCpGSites": ("num_cpg_sites", "normalized"), "race": ("demographic.race", "suffix"),
-        "age": ("age", "camel"), "nothing": (None, "unmatched"),
-    }
+HEADERS = ["farm_no", "owner.trade", "num_ph_tests", "kind", "o", "x_depth", "depth"]
+
+
+@pytest.mark.parametrize(
+    "prop, column, how",
+    [
+        ("chosen", "o", "choice"), ("absent", None, "unmatched"), ("ownerKind", "kind", "rename"), ("farmId", "farm_no", "rename"),
+        ("metres", "depth", "common_rename"), ("other", None, "unmatched"), ("farmNo", "farm_no", "camel"), ("numPHTests", "num_ph_tests", "letters"),
+        ("trade", "owner.trade", "last_part"), ("TRADE", "owner.trade", "last_part"), ("depth", "depth", "camel"), ("none", None, "unmatched"),
+    ],
+)
+def test_every_kind_of_claim(prop, column, how):
+    found = Columns(HEADERS, {"chosen": "o", "absent": "gone"}, {"kind": "ownerKind"}, {"farm_no": "farmId"}, {"kind": "other", "depth": "metres"}, ("x_",)).find(prop)
+    assert (found.column, found.strategy) == (column, how)
+
+
+def test_a_prefix_is_cut_after_whole_headers():
+    assert Columns(["x_depth"], prefixes=("x_",)).find("depth").column == "x_depth"
+    assert Columns(["x_depth", "depth"], prefixes=("x_",)).find("depth").column == "depth"
 
 
 def test_alias_order_and_collisions():
-    both = Resolver(["x", "y"], node_aliases={"y": "p"}, profile_aliases={"x": "p"})
-    assert both.resolve("p").column == "x"  # of two columns the profile's is first
-    same = Resolver(["x"], node_aliases={"x": "q"}, profile_aliases={"x": "p"})
-    assert same.resolve("q").column == "x" and same.resolve("p").column is None
-    assert Resolver(["a_b", "aB", "c"]).collisions == {"aB": ["a_b", "aB"]}
+    two = Columns(["left", "right"], aliases={"right": "side"}, profile_aliases={"left": "side"})
+    assert two.find("side").column == "left"  # of two columns the profile's is first
+    one = Columns(["left"], aliases={"left": "mine"}, profile_aliases={"left": "theirs"})
+    assert one.find("mine").column == "left" and one.find("theirs").column is None
+    assert Columns(["soil_ph", "soilPh", "z"]).collisions == {"soilPh": ["soil_ph", "soilPh"]}
 
 
 def test_schema_problems():

@@ -11,12 +11,12 @@ from braidwork.sources import readers, writers
 
 GRAPH = Graph.of(
     {
-        "Subject": {"id": "subjectId", "properties": ["sexAtBirth"]},
-        "Sample": {"id": "sampleId", "properties": ["sampleClass", {"purity": "float"}]},
-        "Widget": {"id": "widgetId", "properties": ["color"], "subtypeLabels": ["Big", "Small"], "subtypeFrom": "kind"},
+        "Farm": {"id": "farmId", "properties": ["ownerKind"]},
+        "Plot": {"id": "plotId", "properties": ["soil", {"acidity": "float"}]},
+        "Tool": {"id": "toolId", "properties": ["maker"], "subtypeLabels": ["Digger", "Cutter"], "subtypeFrom": "uses"},
         "Condition": {"id": "conditionId", "properties": []},
     },
-    {"PROVIDED_SAMPLE": {"pairs": [["Subject", "Sample"]], "properties": ["method"]}, "LINK": {"pairs": [["Sample", "Widget"], ["Subject", "Widget"]], "properties": [{"confidence": "double"}]}},
+    {"HOLDS_PLOT": {"pairs": [["Farm", "Plot"]], "properties": ["tenure"]}, "USED_ON": {"pairs": [["Plot", "Tool"], ["Farm", "Tool"]], "properties": [{"wear": "double"}]}},
 )
 
 
@@ -111,21 +111,25 @@ def test_survival(session):
 
 
 def test_matrix(session, tmp_path):
-    (tmp_path / "m.tsv").write_text('gene_id\tS1\tS2\t"S_GHOST"\tnote\nENSG1.4\t0\t2.5\t1\tx\nENSG2.1\t\t7\nTP53\t3\n\t1\t1\n')
-    spec = dict(type="matrix", input="m.tsv", observation="expression", feature_id_column="gene_id", feature_id_type="ensembl", unit="TPM", ignore_columns=["note"], assay={"assay_id": "x", "platform": "NovaSeq"})
-    known = frame(session, "sample_id", ("S1",), ("S2",))
+    # A header row that stands again among the data is data: only the first line is the header.
+    (tmp_path / "yield.tsv").write_text('crop\tnorth\tsouth\t"far field"\tremark\nENSG77.3\t0\t4.75\t6\tdry\nENSG81.2\t\t12\nbarley\t8\ncrop\tnorth\tsouth\t"far field"\tremark\n\t5\t5\n')
+    spec = dict(type="matrix", input="yield.tsv", observation="expression", feature_id_column="crop", feature_id_type="ensembl", unit="t", ignore_columns=["remark"], assay={"assay_id": "scale", "platform": "trailer"})
+    known = frame(session, "sample_id", ("south",), ("north",))
     got, lost, why = reshape.reshape(session, spec, str(tmp_path), known, "D")
     assert why == "" and got.columns == [*omics.EXPRESSION, "platform"]
-    assert rows(got.select("expression_observation_id", "expression_value")) == Counter([("S1:ENSG1", "0"), ("S2:ENSG1", "2.5"), ("S2:ENSG2", "7"), ("S1:TP53", "3")])
-    assert rows(lost) == Counter([("S_GHOST",)])
+    assert rows(got.select("expression_observation_id", "expression_value")) == Counter([
+        ("north:ENSG77", "0"), ("south:ENSG77", "4.75"), ("south:ENSG81", "12"), ("north:barley", "8"), ("north:crop", "north"), ("south:crop", "south"),
+    ])
+    assert rows(lost) == Counter([("far field",)])
     assert reshape.reshape(session, spec | {"input": "none.tsv"}, str(tmp_path))[2] == "source not found"
     assert "not in header" in reshape.reshape(session, spec | {"feature_id_column": "id"}, str(tmp_path))[2]
-    (tmp_path / "t.tsv").write_text("sample_id\tcg1\tcg2\nS1\t0.1\t\nS2\t0.2\t0.3\n")
-    turned = dict(type="matrix", input="t.tsv", observation="methylation", orientation="samples_x_genes", feature_id_column="sample_id")
+    (tmp_path / "turned.tsv").write_text("field\twheat\trye\nnorth\t0.35\t\nsouth\t0.6\t0.9\n")
+    turned = dict(type="matrix", input="turned.tsv", observation="methylation", orientation="samples_x_genes", feature_id_column="field")
     m, _, _ = reshape.reshape(session, turned, str(tmp_path))
-    assert rows(m.select("methylation_observation_id", "source_cpg_id", "beta_value")) == Counter([("S1:unknown:cg1", "cg1", "0.1"), ("S2:unknown:cg1", "cg1", "0.2"), ("S2:unknown:cg2", "cg2", "0.3")])
+    assert rows(m.select("methylation_observation_id", "source_cpg_id", "beta_value")) == Counter([("north:unknown:wheat", "wheat", "0.35"), ("south:unknown:wheat", "wheat", "0.6"), ("south:unknown:rye", "rye", "0.9")])
+    assert rows(reshape.odd_features(frame(session, "g", (" ENSG1 ",), ("oat",), ("",), ("oat",)), "g")) == Counter([("oat",)])
     with pytest.raises(ValueError):
-        reshape.reshape(session, {"type": "x", "input": "m.tsv"}, str(tmp_path))
+        reshape.reshape(session, {"type": "x", "input": "yield.tsv"}, str(tmp_path))
 
 
 def test_vcf(session, tmp_path):
@@ -139,33 +143,35 @@ def test_vcf(session, tmp_path):
     assert rows(genes) == Counter([("1-10-AT-G", "E1"), ("1-10-AT-C", "E2")])
 
 
-PROFILE = Profile.of("p", {"p": {"aliases": {"sex": "sexAtBirth"}, "nodes": {
-    "Subject": {"file": "subject", "key": "case_id", "strip_prefix": "case-"}, "Sample": {"file": "sample", "key": "sample_id", "props": {"sampleClass": "sample_type"}},
-    "Widget": {"file": "none", "key": "w"}, "Ghost": {"file": "subject", "key": "case_id"}, "Condition": {"file": "subject", "key": None},
-}, "edges": {"PROVIDED_SAMPLE": {"file": "sample", "pair": ["Subject", "Sample"], "start_key": "case_id", "end_key": "sample_id", "strip_start_prefix": "case-"}}}}.__getitem__)
+PROFILE = Profile.of("p", {"p": {"aliases": {"trade": "ownerKind"}, "nodes": {
+    "Farm": {"file": "farms", "key": "farm_no", "strip_prefix": "F/"}, "Plot": {"file": "plots", "key": "plot_no", "props": {"soil": "ground"}},
+    "Tool": {"file": "shed", "key": "t"}, "Barn": {"file": "farms", "key": "farm_no"}, "Condition": {"file": "farms", "key": None},
+}, "edges": {"HOLDS_PLOT": {"file": "plots", "pair": ["Farm", "Plot"], "start_key": "farm_no", "end_key": "plot_no", "strip_start_prefix": "F/"}}}}.__getitem__)
 
 
 def test_standardise_and_audit(session):
     tables = {
-        "subject": frame(session, "case_id sex icd_10_code", ("case-c1", "NA", "C1"), ("case-c1", "male", ""), (" ", "x", "C2"), ("c2", " female ", "C1")),
-        "sample": frame(session, "sample_id case_id sample_type method", ("s1", "case-c1", "--", "m1"), ("s1", "case-c1", "b", "m2"), ("s2", "zz", "c", "")),
+        "farms": frame(session, "farm_no trade icd_10_code", ("F/31", "unknown", "Q7"), ("F/31", "dairy", ""), ("\t", "mixed", "Q9"), ("58", "  fruit", "Q7")),
+        "plots": frame(session, "plot_no farm_no ground tenure", ("p4", "F/31", "N/A", "owned"), ("p4", "F/31", "clay", "let"), ("p9", "77", "sand", "")),
     }
     for n in (1, 3):
         dealt = {k: v.coalesce(1).withColumn("at", F.monotonically_increasing_id()).repartition(n) for k, v in tables.items()}
         nodes, edges, status = bind.standardise(session, GRAPH, PROFILE, dealt.get, order="at")
-        assert rows(nodes["Subject"]) == Counter([("c1", ""), ("c2", "female")])
-        assert rows(nodes["Sample"].select("sampleId", "sampleClass")) == Counter([("s1", ""), ("s2", "c")])
-        assert rows(nodes["Condition"]) == Counter([("ICD10:C1",), ("ICD10:C2",)])
-        assert rows(edges["PROVIDED_SAMPLE"]) == Counter([("c1", "s1", "Subject", "Sample", "m1"), ("zz", "s2", "Subject", "Sample", "")])
-    assert {(n, r) for _, n, s, r in status if s == "skipped"} == {("Widget", "no source"), ("Ghost", "not in the graph")}
-    assert {r.name: r.n_rows for r in bind.summary(session, nodes, edges, status).collect()}["Subject"] == 2
+        assert rows(nodes["Farm"]) == Counter([("31", ""), ("58", "fruit")])
+        assert rows(nodes["Plot"].select("plotId", "soil")) == Counter([("p4", ""), ("p9", "sand")])
+        assert rows(nodes["Condition"]) == Counter([("ICD10:Q7",), ("ICD10:Q9",)])
+        assert rows(edges["HOLDS_PLOT"]) == Counter([("31", "p4", "Farm", "Plot", "owned"), ("77", "p9", "Farm", "Plot", "")])
+    assert {(n, r) for _, n, s, r in status if s == "skipped"} == {("Tool", "no source"), ("Barn", "not in the graph")}
+    assert {r.name: r.n_rows for r in bind.summary(session, nodes, edges, status).collect()}["Farm"] == 2
     report = audit.validation_report(GRAPH, nodes, edges).first()
     assert (report.node_types, report.node_ids, report.edges, report.problems) == (3, 6, 2, 1)
-    assert audit.validation_report(GRAPH, nodes, edges, {"Subject": frame(session, "subjectId", ("zz",))}, strict=True).first().problems == 0
+    assert audit.validation_report(GRAPH, nodes, edges, {"Farm": frame(session, "farmId", ("77",))}, strict=True).first().problems == 0
     with pytest.raises(ValueError):
         audit.validation_report(GRAPH, nodes, edges, strict=True)
-    kinds = {r.kind for r in bind.binding_report(GRAPH, PROFILE, tables).select(F.col("entry").alias("kind")).collect()}
-    assert kinds == {"property", "key", "unused", "skipped"}
+    found = bind.binding_report(GRAPH, PROFILE, tables).collect()
+    assert {r.entry for r in found} == {"property", "key", "unused", "skipped"}
+    filled = {(r["name"], r.item): (r.column, r.how, r.fill_rate) for r in found if r.entry == "property"}
+    assert filled["Farm", "ownerKind"] == ("trade", "rename", 0.75) and filled["Plot", "soil"] == ("ground", "choice", 2 / 3) and filled["Plot", "acidity"] == (None, "unmatched", None)
 
 
 def test_zero_rows_and_no_dedup(session):
@@ -177,38 +183,70 @@ def test_zero_rows_and_no_dedup(session):
 
 
 def test_fold(session):
-    old = frame(session, "subjectId sexAtBirth", ("a", "f"), ("b", "m"))
-    new = frame(session, "subjectId sexAtBirth", ("a", ""), ("b", "x"), ("c", ""), ("", "z"))
-    once = fold.upsert_nodes(old, new, "subjectId")
-    assert rows(once) == rows(fold.upsert_nodes(once, new, "subjectId")) == Counter([("a", "f"), ("b", "x"), ("c", None)])
-    edges = frame(session, "startId endId startLabel endLabel method", ("a", "s", "Subject", "Sample", "m"), ("a", "s", "Subject", "Sample", ""), ("q", "s", "Subject", "Sample", ""), ("", "s", "Subject", "Sample", ""))
-    ids = audit.known_ids({"Subject": old, "Sample": frame(session, "sampleId", ("s",))}, GRAPH)
+    old = frame(session, "farmId ownerKind", ("12", "dairy"), ("40", "wool"))
+    new = frame(session, "farmId ownerKind", ("12", ""), ("40", "goats"), ("53", ""), ("", "bees"))
+    once = fold.upsert_nodes(old, new, "farmId")
+    assert rows(once) == rows(fold.upsert_nodes(once, new, "farmId")) == Counter([("12", "dairy"), ("40", "goats"), ("53", None)])
+    edges = frame(session, "startId endId startLabel endLabel tenure", ("12", "p4", "Farm", "Plot", "let"), ("12", "p4", "Farm", "Plot", ""), ("88", "p4", "Farm", "Plot", ""), ("", "p4", "Farm", "Plot", ""), ("12", "p5", "Farm", "Plot", ""))
+    ids = audit.known_ids({"Farm": old, "Plot": frame(session, "plotId", ("p4",))}, GRAPH)
     kept, lost = fold.upsert_edges(None, edges, ids)
-    assert [r.method for r in kept.collect()] == ["m"] and lost.count() == 2
-    w = frame(session, "widgetId color kind", ("1", "r", "Big; Huge"), ("2", "g", ""), ("3", "b", "Small,Big"))
-    assert rows(fold.group_by_labels(w, GRAPH.nodes["Widget"])) == Counter([("Widget", "Big", 1), ("Widget", "", 1), ("Widget", "Small:Big", 1)])
-    assert fold.unique_key_check(w.union(w), "widgetId").count() == 3
+    assert [r.tenure for r in kept.collect()] == ["let"] and lost.count() == 3 and lost.columns == edges.columns
+    w = frame(session, "toolId maker uses", ("x1", "Ash", "Digger; Flyer"), ("x2", "Elm", ""), ("x3", "Oak", "Cutter,Digger"))
+    assert rows(fold.group_by_labels(w, GRAPH.nodes["Tool"])) == Counter([("Tool", "Digger", 1), ("Tool", "", 1), ("Tool", "Cutter:Digger", 1)])
+    assert fold.unique_key_check(w.union(w), "toolId").count() == 3
+
+
+@pytest.mark.parametrize("n", [1, 8])
+def test_repeated_ids_of_a_batch_follow_its_order(session, n):
+    batch = session.createDataFrame([(k, f"{k % 3}", f"v{k:03}") for k in range(60)], "at long, farmId string, ownerKind string").repartition(n)
+    assert rows(fold.upsert_nodes(None, batch, "farmId", "at")) == Counter([("0", "v057"), ("1", "v058"), ("2", "v059")])
+    # Without an order the greatest value stays, on any number of partitions.
+    assert rows(fold.upsert_nodes(None, batch.drop("at"), "farmId")) == Counter([("0", "v057"), ("1", "v058"), ("2", "v059")])
 
 
 def test_bulk_and_graph_files(session, tmp_path):
-    w = frame(session, "widgetId color kind", ("1", "r", "Big"), ("", "g", ""))
-    out = writers.bulk_nodes(w, GRAPH, "Widget")
-    assert out.columns == ["widgetId:ID(Widget)", "color", ":LABEL"] and rows(out) == Counter([("1", "r", "Widget;Big")])
-    links = frame(session, "startId endId startLabel endLabel confidence", ("s", "1", "Sample", "Widget", "0.5"), ("u", "1", "Subject", "Widget", ""))
-    assert writers.bulk_edges(links, GRAPH, "LINK", "Sample", "Widget").columns == [":START_ID(Sample)", ":END_ID(Widget)", "confidence:double"]
-    assert rows(writers.edge_pairs(links)) == Counter([("Sample", "Widget", 1), ("Subject", "Widget", 1)])
+    w = frame(session, "toolId maker uses", ("x1", "Ash", "Cutter"), (" ", "Elm", ""))
+    out = writers.bulk_nodes(w, GRAPH, "Tool")
+    assert out.columns == ["toolId:ID(Tool)", "maker", ":LABEL"] and rows(out) == Counter([("x1", "Ash", "Tool;Cutter")])
+    links = frame(session, "startId endId startLabel endLabel wear", ("p4", "x1", "Plot", "Tool", "0.25"), ("31", "x1", "Farm", "Tool", ""))
+    assert writers.bulk_edges(links, GRAPH, "USED_ON", "Plot", "Tool").columns == [":START_ID(Plot)", ":END_ID(Tool)", "wear:double"]
+    assert rows(writers.edge_pairs(links)) == Counter([("Plot", "Tool", 1), ("Farm", "Tool", 1)])
     folder = str(tmp_path / "g")
-    writers.write_graph({"Widget": w, "Odd": w}, {"LINK": links}, folder)
+    writers.write_graph({"Tool": w, "Odd": w}, {"USED_ON": links}, folder)
     nodes, edges, unknown = readers.read_graph(session, folder, GRAPH)
-    assert set(nodes) == {"Widget"} and set(edges) == {"LINK"} and unknown == ["nodes/Odd"]
+    assert set(nodes) == {"Tool"} and set(edges) == {"USED_ON"} and unknown == ["nodes/Odd"]
     manifest, constraints = writers.bulk_manifest(session, {"d1": (nodes, edges), "d2": (nodes, {})}, GRAPH)
-    assert manifest.count() == 3 and constraints == [("Widget", "widgetId")]
+    assert manifest.count() == 3 and constraints == [("Tool", "toolId")]
+    writers.write_bulk(nodes, edges, GRAPH, str(tmp_path / "bulk"))
+    assert session.read.csv(str(tmp_path / "bulk" / "edges" / "USED_ON" / "Plot__Tool"), header=True).columns == [":START_ID(Plot)", ":END_ID(Tool)", "wear:double"]
     (tmp_path / "raw").mkdir()
-    (tmp_path / "raw" / "t.csv").write_text('a,b\n"x ""q""",\n')
-    assert rows(readers.resolve_source(session, "t.csv", str(tmp_path / "interim"), str(tmp_path / "raw"))) == Counter([('x "q"', "")])
+    (tmp_path / "raw" / "t.csv").write_text('note,rest\n"a ""low"" shed",\n')
+    assert rows(readers.resolve_source(session, "t.csv", str(tmp_path / "interim"), str(tmp_path / "raw"))) == Counter([('a "low" shed', "")])
     assert readers.resolve_source(session, "no.csv", folder, folder) is None
 
 
+def test_entities_observations_and_metadata_files(session, cases, tmp_path):
+    writers.write_entities(flatten.emit_all(cases), str(tmp_path / "e"))
+    assert session.read.parquet(str(tmp_path / "e" / "diagnosis.parquet")).count() == 3
+    writers.write_entities({"study": flatten.studies(cases)}, str(tmp_path / "t"), as_text=True)
+    assert session.read.csv(str(tmp_path / "t" / "study.tsv"), sep="\t", header=True).columns[:3] == ["case_id", "case_submitter_id", "project_id"]
+    obs = frame(session, "sample_id expression_value source_dataset extra", ("s", "2", "D", "x"), ("s", "3", "E", "y"))
+    writers.write_observations(obs, omics.EXPRESSION, str(tmp_path / "o"))
+    back = session.read.parquet(str(tmp_path / "o"))
+    assert {p.name for p in (tmp_path / "o").iterdir() if p.is_dir()} == {"source_dataset=D", "source_dataset=E"} and set(back.columns) == {*omics.EXPRESSION, "extra"}
+    (tmp_path / "page.json").write_text('{"data": {"hits": [{"case_id": "k1", "project": {"project_id": "P", "program": {"name": "G"}}}, {"case_id": "k2", "project": {"project_id": "Q", "program": {"name": "G"}}}]}}\n')
+    page = str(tmp_path / "page.json")
+    assert readers.read_cases(session, page, project="Q").first().case_id == "k2" and readers.read_cases(session, page, program="G").count() == 2
+    (tmp_path / "files.json").write_text('{"file_id": "f1", "file_name": "n1", "md5sum": "m", "file_size": 7, "access": "open"}\n')
+    files = readers.read_file_metadata(session, str(tmp_path / "files.json"))
+    assert rows(writers.file_manifest(files)) == Counter([("f1", "n1", "m", 7, "validated")])
+    known = frame(session, "file_id sample_id assay_id pipeline_version", ("f1", "s", "a", "v"))
+    assert rows(writers.file_metadata(files, known)) == Counter([("f1", "n1", "s", "a", "v")]) and "sample_id" not in writers.file_metadata(files, known, False).columns
+    (tmp_path / "surv.txt").write_text("# c\nPATIENT_ID\tOS_STATUS\tOS_MONTHS\np1\t1:DEAD\t\n")
+    assert rows(readers.read_patient_survival(session, str(tmp_path / "surv.txt"))) == Counter([("p1", "1:DEAD", "")])
+    assert rows(audit.endpoint_preflight(GRAPH, {"Farm": frame(session, "farmId", ("1",))}, {"HOLDS_PLOT": None})) == Counter([("Plot",)])
+
+
 def test_manifest(session, tmp_path):
     for name in ("ok", "short"):
         (tmp_path / "f" / name).mkdir(parents=True)
