@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 PLACEHOLDERS = ("na", "n/a", "null", "none", "--", "unknown", "not reported", "not available", "'--")
 
 # The characters that count as white space at the ends of a cell.
-WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+ASCII_WHITE = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
+WHITE = ASCII_WHITE + "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -19,11 +20,21 @@ def blank(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def trimmed(c: Column) -> Column:
+    """Text without white space at its ends. No regular expression, and the long list only
+    for text beyond ASCII, since Spark copies this into filters and tests of the same cell."""
+    text = blank(c)
+    return F.when(F.octet_length(text) == F.length(text), F.btrim(text, F.lit(ASCII_WHITE))).otherwise(F.btrim(text, F.lit(WHITE)))
+
+
+def _missing(text: Column, placeholders) -> Column:
+    return F.lower(text).isin(["", *(p.lower() for p in placeholders)])
+
+
 def scrub(c: Column, placeholders=PLACEHOLDERS) -> Column:
-    """Trimmed text; placeholders and null become empty. The trim is no regular expression,
-    since Spark copies this expression into filters and tests of the same cell."""
-    text = F.btrim(blank(c), F.lit(WHITE))
-    return F.when(F.lower(text).isin([p.lower() for p in placeholders]), F.lit("")).otherwise(text) if placeholders else text
+    """Trimmed text; placeholders and null become empty."""
+    text = trimmed(c)
+    return F.when(_missing(text, placeholders), F.lit("")).otherwise(text) if placeholders else text
 
 
 def strip_prefix(c: Column, prefix: str | None) -> Column:
@@ -32,12 +43,18 @@ def strip_prefix(c: Column, prefix: str | None) -> Column:
 
 
 def mint_id(parts: list[Column], sep: str = ":", placeholders=PLACEHOLDERS) -> Column:
-    """Scrubbed parts joined; empty if any of them is empty."""
-    clean = [scrub(p, placeholders) for p in parts]
-    whole = F.lit(True)
-    for p in clean:
-        whole = whole & (p != "")
-    return F.when(whole, F.concat_ws(sep, *clean)).otherwise(F.lit(""))
+    """Scrubbed parts joined; empty if any of them is empty. Parts that are scrubbed
+    already come with ``placeholders`` None.
+
+    The parts are elements of one array: each is trimmed once, and the expression stays
+    small where Spark copies it into a filter, so that the generated code can be compiled.
+    """
+    if placeholders is None:
+        whole = [F.nullif(blank(p), F.lit("")) for p in parts]
+        return F.coalesce(F.concat(*[x for p in whole for x in (F.lit(sep), p)][1:]), F.lit(""))
+    clean = F.transform(F.array(*[blank(p) for p in parts]), trimmed)
+    join = lambda ws: F.when(F.exists(ws, lambda w: _missing(w, placeholders)), F.lit("")).otherwise(F.array_join(ws, sep))
+    return F.get(F.transform(F.array(clean), join), F.lit(0))
 
 
 def fallback_id(parts: list[Column], sep: str = ":", missing: str = "unknown") -> Column:

@@ -6,19 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from braidwork.functions.text import PLACEHOLDERS, blank, is_zero, mint_id, scrub, strip_prefix
 from braidwork.plans.names import Columns
 from braidwork.plans.schema import Binding, Graph, Profile
 from braidwork.sources.readers import ORDER_AT
 
-#: Label: the source columns of its minted id and the function that builds it.
+#: Label: the source columns of its minted id and the function that builds it from their
+#: scrubbed cells.
 KEY_BUILDERS: dict[str, tuple[tuple[str, ...], Callable[..., Column]]] = {
-    "ExpressionObservation": (("sample_id", "gene_id"), lambda *c: mint_id(list(c))),
-    "MethylationObservation": (("sample_id", "cpg_id"), lambda *c: mint_id(list(c))),
-    "VariantObservation": (("sample_id", "variant_id"), lambda *c: mint_id(list(c))),
-    "Survival": (("case_id", "survival_type"), lambda *c: mint_id(list(c))),
-    "Condition": (("icd_10_code",), lambda c: mint_id([F.lit("ICD10"), c])),
+    "ExpressionObservation": (("sample_id", "gene_id"), lambda *c: mint_id(list(c), placeholders=None)),
+    "MethylationObservation": (("sample_id", "cpg_id"), lambda *c: mint_id(list(c), placeholders=None)),
+    "VariantObservation": (("sample_id", "variant_id"), lambda *c: mint_id(list(c), placeholders=None)),
+    "Survival": (("case_id", "survival_type"), lambda *c: mint_id(list(c), placeholders=None)),
+    "Condition": (("icd_10_code",), lambda c: mint_id([F.lit("ICD10"), c], placeholders=None)),
 }
 
 #: A source with one of these columns loses the rows where it is zero.
@@ -29,6 +31,11 @@ def quoted(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def cell(df: DataFrame, name: str, placeholders=PLACEHOLDERS) -> Column:
+    """A column's scrubbed text. Numbers and dates have nothing to trim and no placeholders."""
+    return scrub(quoted(name), placeholders) if isinstance(df.schema[name].dataType, StringType) else blank(quoted(name))
+
+
 def exclude_zero_rows(df: DataFrame, columns=ZERO_COLUMNS) -> DataFrame:
     for c in columns:
         if c in df.columns:
@@ -49,10 +56,10 @@ def _key(df: DataFrame, label: str, column: str | None, prefix: str | None, plac
     """The id of a label from a source, or None if the source lacks a column for it."""
     if label in builders:
         columns, build = builders[label]
-        return build(*[quoted(c) for c in columns]) if set(columns) <= set(df.columns) else None
+        return build(*[cell(df, c, placeholders) for c in columns]) if set(columns) <= set(df.columns) else None
     if column is None or column not in df.columns:
         return None
-    return strip_prefix(scrub(quoted(column), placeholders), prefix)
+    return strip_prefix(cell(df, column, placeholders), prefix)
 
 
 def _columns(df: DataFrame, binding: Binding, profile: Profile | None) -> Columns:
@@ -68,7 +75,7 @@ def _properties(df: DataFrame, names, binding: Binding, profile: Profile | None,
     out = []
     for p in names:
         raw = found.find(p).column
-        out.append((scrub(quoted(raw), placeholders) if raw else F.lit("")).alias(p))
+        out.append((cell(df, raw, placeholders) if raw else F.lit("")).alias(p))
     return out
 
 

@@ -70,7 +70,7 @@ def bind_nodes_customer(spark, sf_dir):
 
 
 def mint_line_id(spark, sf_dir):
-    builders = {"Line": (("l_orderkey", "l_linenumber", "l_suppkey"), lambda *c: fx.mint_id(list(c)))}
+    builders = {"Line": (("l_orderkey", "l_linenumber", "l_suppkey"), lambda *c: fx.mint_id(list(c), placeholders=None))}
     b = Binding("Line", ("lineitem",), (None,), overrides={"quantity": "l_quantity"})
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", F.col("l_quantity").cast("long").alias("l_quantity"))
     return bind.bind_nodes(GRAPH, b, [rows], order=["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"], builders=builders)
