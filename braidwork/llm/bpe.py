@@ -10,12 +10,17 @@ from the states of its path.
 Whether two neighbouring tokens stay apart is decided by replaying, in rank order, the
 merges that made the end of the left and the start of the right one.
 
+Words are split and lower-cased by the character classes of the library that defines the
+encoding: the driver reads them off the library once and sends them with the job, so that
+results don't depend on the Unicode version of any worker's Python.
+
 Long texts are read in pieces that end at a space, so memory is bounded by the piece and
 by ``cache_words``, the words whose encodings are kept between pieces.
 
 Defined results for unusual rows: null or blank text has no tokens (the hashes are those
-of the empty string); a null doc_id passes through; repeated rows give one row each; an
-empty table gives an empty result; other columns are ignored.
+of the empty string); a null doc_id passes through; repeated rows give one row each; of
+merges with one rank the leftmost comes first, so there are no ties; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,16 +28,60 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import unicodedata
+import re
+from functools import lru_cache
 
 import pyarrow as pa
-import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END = "</w>"
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+
+
+@lru_cache
+def character_tables() -> tuple[str, str, str, dict[str, str]]:
+    """Letters, numbers and white space as the insides of character classes, and the
+    lower-case form of each character that has one, as the tokenizers library sees them.
+
+    Read are all code points of the planes that hold letters, numbers or spaces.
+    """
+    from tokenizers import Regex
+    from tokenizers.normalizers import Lowercase
+    from tokenizers.pre_tokenizers import Split
+
+    codes = [*range(0xD800), *range(0xE000, 0x40000), *range(0xE0000, 0xE1000)]
+    every = "".join(map(chr, codes))
+
+    def inside(others: str) -> str:
+        runs = (span for _, span in Split(Regex(others), "removed").pre_tokenize_str(every))
+        return "".join(f"\\U{ord(every[a]):08x}-\\U{ord(every[b - 1]):08x}" for a, b in runs)
+
+    cased = [c for c in every if c != "\n"]
+    lower = Lowercase().normalize_str("\n".join(cased)).split("\n")
+    return inside(r"\P{L}+"), inside(r"\P{N}+"), inside(r"\S+"), {c: x for c, x in zip(cased, lower, strict=True) if c != x}
+
+
+class WordSplitter:
+    """Composes, lower-cases and splits text into words."""
+
+    def __init__(self, tables):
+        letters, numbers, spaces, lower = tables
+        self.words = re.compile(f"{SHORT}|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+        self.lower = {ord(c): x for c, x in lower.items()}
+        # Where this Python lower-cases otherwise, or by context, the table is used.
+        other = [c for c in map(chr, (*range(0xD800), *range(0xE000, 0x40000))) if c.lower() != lower.get(c, c) or c == "\u03a3"]
+        self.other = re.compile("[" + "".join(f"\\U{ord(c):08x}" for c in other) + "]")
+
+    def split(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.words.findall(text.lower())
+        if max(text) >= "\u0300":  # below stands nothing that composes
+            from tokenizers.normalizers import NFC
+
+            text = NFC().normalize_str(text)
+        return self.words.findall(text.translate(self.lower) if self.other.search(text) else text.lower())
 
 
 def byte_alphabet() -> list[str]:
@@ -48,12 +97,13 @@ def byte_alphabet() -> list[str]:
 class TrieEncoder:
     """Encodes words under a merge list with word ends."""
 
-    def __init__(self, spec: dict):
+    def __init__(self, spec: dict, tables=None):
         model = spec["model"]
+        self.splitter = WordSplitter(tables or character_tables())
         self.names: dict[int, str] = {i: s for s, i in model["vocab"].items()}
         self.special: dict[str, int] = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names |= {i: s for s, i in self.special.items()}
-        self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         # A word is a string over one character per symbol; a last symbol, which carries the
         # word end, is its character moved up by 0x10000.
         self.byte = byte_alphabet()
@@ -192,10 +242,7 @@ class TrieEncoder:
             if part in self.special:
                 out.append(part)
             elif part:
-                if not part.isascii():
-                    # Each character is lowered alone: no form for the end of a word.
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                out += _WORDS.findall(part.lower())
+                out += self.splitter.split(part)
         return out
 
 
@@ -214,14 +261,14 @@ def pieces(text: str, size: int = 1_000_000):
 class TextEncoder:
     """Encodes texts, keeping the encodings of up to ``cache_words`` words."""
 
-    def __init__(self, path: str, cache_words: int = 500_000):
+    def __init__(self, path: str, cache_words: int = 500_000, tables=None):
         with open(path, encoding="utf-8") as f:
-            self.encoder = TrieEncoder(json.load(f))
+            self.encoder = TrieEncoder(json.load(f), tables)
         self.cache_words = cache_words
         self.known: dict[str, tuple[str, str]] = {}
 
     def learn(self, words: set[str]) -> None:
-        new = words - self.known.keys()
+        new = {w for w in words if w not in self.known}
         if len(self.known) + len(new) > self.cache_words:
             self.known, new = {}, words
         special, names = self.encoder.special, self.encoder.names
@@ -275,11 +322,11 @@ class TextEncoder:
 _encoders: dict[str, TextEncoder] = {}
 
 
-def _encoder(path: str) -> TextEncoder:
+def _encoder(path: str, tables) -> TextEncoder:
     """One encoder a worker; a vocabulary file sent with the job is found by its name."""
     if path not in _encoders:
         here = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
-        _encoders[path] = TextEncoder(here)
+        _encoders[path] = TextEncoder(here, tables=tables)
     return _encoders[path]
 
 
@@ -289,10 +336,11 @@ def bpe_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     ``vocabulary`` is the path of a tokenizer file on every node, or the name of a file
     that was added to the session with addFile.
     """
+    tables = character_tables()
 
     def run(batches):
         for b in batches:
-            rows = list(_encoder(vocabulary).rows(b.column(1).to_pylist()))
+            rows = list(_encoder(vocabulary, tables).rows(b.column(1).to_pylist()))
             n, ids, decoded = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
@@ -306,10 +354,11 @@ def bpe_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id and the token ids of each text."""
+    tables = character_tables()
 
     def run(batches):
         for b in batches:
-            e = _encoder(vocabulary)
+            e = _encoder(vocabulary, tables)
             out = []
             for t in b.column(1).to_pylist():
                 ids: list[int] = []
@@ -323,10 +372,11 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id and the vocabulary strings of the ids, joined by a space."""
+    tables = character_tables()
 
     def run(batches):
         for b in batches:
-            names = _encoder(vocabulary).encoder.names
+            names = _encoder(vocabulary, tables).encoder.names
             out = [" ".join([names[i] for i in ids or ()]) for ids in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["doc_id", "text"])
 

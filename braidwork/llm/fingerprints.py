@@ -1,48 +1,59 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is cut into paragraphs (lines, their sentences, and pieces of at most 64
-characters of a long sentence) and each distinct one into a 64-bit digest. A sketch has
-three tables of cells; a digest is added to one cell of each table, where a cell keeps a
-count, the sum of its digests and the sum of their checks. The sketch of one version
-minus that of another leaves their difference; cells with a single digest are read and
-taken out in turn (peeling), which gives the digests that only one version has. If cells
-are left, the sketches are built with twice as many, until the peeling ends.
-
-The fingerprint is the sketch of the smallest size with the number of digests, so equal
-texts have equal fingerprints. The likeness of two versions is 1 - d / (a + b) for d
+A text is cut into paragraphs (lines, their sentences, and the parts of long sentences) and
+each distinct one into a 64-bit digest. A long sentence is cut where its own letters say so,
+so a changed letter changes the part it stands in and no other. A sketch has three tables of
+cells; a digest is added to one cell of each table, where a cell keeps a count, the sum of
+its digests and the sum of their checks. The sketch of one version minus that of another
+leaves their difference; cells with a single digest are read and taken out in turn
+(peeling), which gives the digests that only one version has. If cells are left, sketches of
+twice the size are built, until the peeling ends.
+
+The fingerprint is a sketch whose size follows the number of digests, printed with that
+number, so equal texts have equal fingerprints. A wide sketch folds to a narrower one, since
+widths are powers of two: two fingerprints are folded to the narrower width and subtracted,
+and versions that differ by some tenth of their paragraphs are settled from the two printed
+strings alone (``compare``). The likeness of two versions is 1 - d / (a + b) for d
 recovered digests of a and b; two empty texts are alike.
 
 Defined results for unusual rows: a null text is empty; a null doc_id comes last in the
-descending order; rows with one doc_id follow each other by text hash; a table of one row
-is its own next document; an empty table gives an empty result; other columns are
-ignored. Texts are read whole.
+descending order; rows with one doc_id follow each other by text hash, and rows equal in
+both as they are read; a table of one row is its own next document; an empty table gives an
+empty result; other columns are ignored. Texts are read whole.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from braidwork.llm.common import materialise
 from braidwork.llm.grams import mix
 
 U = np.uint64
 TABLES = 3
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+# Within a long sentence: a space between letters that a third of the places or so have.
+_PART = re.compile(r"(?<=[adghklnsy,;:])\s+(?=[\Wa-m])")
 
 
-def paragraphs(text: str) -> list[str]:
+def paragraphs(text: str, long: int = 64) -> list[str]:
     out = []
     for s in _SENTENCE.split(text):
-        if s.strip():
-            out += [s] if len(s) <= 64 else [s[k : k + 64] for k in range(0, len(s), 64)]
+        if len(s) <= long:
+            out += [s] if s.strip() else []
+            continue
+        for part in _PART.split(s):
+            # Text without such places, in scripts without spaces, is cut by length.
+            out += [part] if len(part) <= 4 * long else [part[k : k + long] for k in range(0, len(part), long)]
     return out
 
 
@@ -108,121 +119,186 @@ class Sketches:
         return join(found[0], U), join(found[1], np.int64), join(found[2], np.int64), ~undone
 
 
-def differences(a: list[np.ndarray], b: list[np.ndarray], width: int = 4) -> tuple[np.ndarray, list]:
-    """The number of digests that only one of a[k], b[k] has, and those digests."""
+def widths(sizes) -> np.ndarray:
+    """Cells a table of the fingerprint for each number of digests: a power of two, at
+    least 4, and 3/16 to 3/8 of the digests in all three tables beyond that."""
+    n = np.maximum(np.asarray(sizes, dtype=np.int64), 1)
+    return 4 << np.maximum(0, np.ceil(np.log2(n / 64)).astype(np.int64))
+
+
+def sketch(sets: list[np.ndarray], width: np.ndarray, sign: int = 1) -> Sketches:
+    """One sketch for each set of digests."""
+    out, sizes = Sketches(width), [len(x) for x in sets]
+    if sum(sizes):
+        keys = np.concatenate(sets)
+        out.add(keys, np.repeat(np.arange(len(sets)), sizes), np.full(len(keys), sign, dtype=np.int64))
+    return out
+
+
+def subtract(a: Sketches, b: Sketches) -> Sketches:
+    """a[k] minus b[k], each folded to the narrower of the two widths."""
+    out = Sketches(np.minimum(a.width, b.width))
+    for s, sign in ((a, 1), (b, -1)):
+        cells = TABLES * s.width
+        owner = np.repeat(np.arange(len(s.width)), cells)
+        within = np.arange(len(owner)) - s.offset[owner]
+        table, place = within // s.width[owner], within % s.width[owner]
+        at = out.offset[owner] + table * out.width[owner] + place % out.width[owner]
+        np.add.at(out.count, at, sign * s.count)
+        np.add.at(out.keys, at, s.keys * U(sign & 0xFFFFFFFFFFFFFFFF))
+        np.add.at(out.checks, at, s.checks * U(sign & 0xFFFFFFFFFFFFFFFF))
+    return out
+
+
+def differences(a: list[np.ndarray], b: list[np.ndarray], first: tuple[Sketches, Sketches] | None = None) -> tuple[np.ndarray, list]:
+    """The number of digests that only one of a[k], b[k] has, and those digests. ``first``
+    has the sketches of the fingerprints; those that don't peel are built again, larger."""
     n = len(a)
-    wide = np.array([max(width, abs(len(x) - len(y)) // 2) for x, y in zip(a, b, strict=True)], dtype=np.int64)
+    one, two = first or (sketch(a, widths([len(x) for x in a])), sketch(b, widths([len(x) for x in b])))
     count, recovered = np.zeros(n, dtype=np.int64), [None] * n
-    todo = np.arange(n)
+    todo, left = np.arange(n), subtract(one, two)
     while len(todo):
-        s = Sketches(wide[todo])
-        for side, sign in ((a, 1), (b, -1)):
-            sizes = [len(side[k]) for k in todo]
-            keys = np.concatenate([side[k] for k in todo]) if sum(sizes) else np.empty(0, dtype=U)
-            s.add(keys, np.repeat(np.arange(len(todo)), sizes), np.full(len(keys), sign, dtype=np.int64))
-        keys, owner, sign, done = s.peel()
+        width = left.width
+        keys, owner, sign, done = left.peel()
         by = np.argsort(owner, kind="stable")
         cuts = np.searchsorted(owner[by], np.arange(len(todo) + 1))
         for j in np.flatnonzero(done):
             part = by[cuts[j] : cuts[j + 1]]
             count[todo[j]] = len(part)
             recovered[todo[j]] = (keys[part], sign[part])
-        wide[todo] *= 2  # retried larger
-        todo = todo[~done]
+        todo, width = todo[~done], 2 * width[~done]  # retried larger
+        if len(todo):
+            sides = [[side[k] for k in todo] for side in (a, b)]
+            # At the least, the sketch holds the difference of the two sizes.
+            least = np.array([abs(len(x) - len(y)) // 2 for x, y in zip(*sides, strict=True)])
+            width = np.maximum(width, 1 << np.ceil(np.log2(np.maximum(least, 1))).astype(np.int64))
+            left = subtract(sketch(sides[0], width), sketch(sides[1], width))
     return count, recovered
 
 
-def likeness(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    d, _ = differences(a, b)
+def likeness(a: list[np.ndarray], b: list[np.ndarray], first: tuple[Sketches, Sketches] | None = None) -> np.ndarray:
+    d, _ = differences(a, b, first)
     both = np.array([len(x) + len(y) for x, y in zip(a, b, strict=True)])
     return np.where(both > 0, 1 - d / np.maximum(both, 1), 1.0)
 
 
-def fingerprints(sets: list[np.ndarray], width: int = 4) -> list[str]:
-    """Number of digests and the cells of the smallest sketch, as text."""
-    s = Sketches(np.full(len(sets), width, dtype=np.int64))
-    sizes = [len(x) for x in sets]
-    keys = np.concatenate(sets) if sum(sizes) else np.empty(0, dtype=U)
-    s.add(keys, np.repeat(np.arange(len(sets)), sizes), np.ones(len(keys), dtype=np.int64))
-    n = TABLES * width
+def printed(s: Sketches, sizes: list[int]) -> list[str]:
+    """The number of digests, the width and the cells of each sketch, as text."""
     out = []
     for k, size in enumerate(sizes):
-        cells = slice(k * n, (k + 1) * n)
+        cells = slice(s.offset[k], s.offset[k] + TABLES * s.width[k])
         raw = s.count[cells].astype("<i4").tobytes() + s.keys[cells].astype("<u8").tobytes() + s.checks[cells].astype("<u8").tobytes()
-        out.append(f"{size}:{base64.b64encode(raw).decode()}")
+        out.append(f"{size}:{s.width[k]}:{base64.b64encode(raw).decode()}")
     return out
 
 
-def with_next(docs: DataFrame, rows_per_bucket: int = 4096, most_buckets: int = 8192) -> DataFrame:
-    """doc_id, text and next_text, the text that follows in descending doc_id; the first
-    document follows the last.
+def parsed(fingerprints: list[str]) -> tuple[Sketches, list[int]]:
+    """The sketches of printed fingerprints and their numbers of digests."""
+    fields = [f.split(":") for f in fingerprints]
+    out = Sketches(np.array([int(f[1]) for f in fields], dtype=np.int64))
+    for k, (_, width, cells) in enumerate(fields):
+        n, raw = TABLES * int(width), base64.b64decode(cells)
+        at = slice(out.offset[k], out.offset[k] + n)
+        out.count[at] = np.frombuffer(raw, "<i4", n)
+        out.keys[at] = np.frombuffer(raw, "<u8", n, 4 * n)
+        out.checks[at] = np.frombuffer(raw, "<u8", n, 12 * n)
+    return out, [int(f[0]) for f in fields]
 
-    Rows are dealt by ranges of doc_id. The first row of each range is also sent, as a
-    marker, to the range before it, so no row order is ever made in one task. Gathered are
-    the range bounds and one id a range, at most ``most_buckets``.
-    """
-    base = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    total = base.count()
-    n = max(1, min(most_buckets, total // rows_per_bucket))
-    cuts = [k / n for k in range(1, n)]
-    bounds = base.select(F.percentile_approx("doc_id", cuts, 10000)).first()[0] if cuts else []
-    edges = np.unique(np.array([b for b in bounds or () if b is not None], dtype=np.int64))
-    last = len(edges) + 1  # of the rows without an id
-
-    @F.pandas_udf("int")
-    def bucket_of(ids: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for x in ids:
-            none = x.isna()
-            at = len(edges) - np.searchsorted(edges, x.fillna(0).astype("int64"), side="left")
-            yield pd.Series(np.where(none, last, at)).astype("int32")
-
-    ids = base.select("doc_id", bucket_of(F.col("doc_id")).alias("bucket"))
-    tops = {r["bucket"]: r["top"] for r in ids.groupBy("bucket").agg(F.max("doc_id").alias("top")).collect()}
-    order = sorted(tops)
-    before = {b: order[k - 1] for k, b in enumerate(order)}
-    spark = docs.sparkSession
-    firsts = spark.createDataFrame([(b, tops[b], before[b]) for b in order], "bucket int, top long, previous int")
-    placed = base.withColumn("bucket", bucket_of(F.col("doc_id"))).join(F.broadcast(firsts), "bucket")
-    own = F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("marker")))
-    marker = F.array(F.struct(F.col("previous").alias("b"), F.lit(True).alias("marker")))
-    sent = placed.select("doc_id", "text", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.concat(own, marker)).otherwise(own)).alias("to"))
-    line = Window.partitionBy("b").orderBy("marker", F.desc_nulls_last("doc_id"), F.xxhash64("text"))
-    return (
-        sent.select("doc_id", "text", "to.b", "to.marker")
-        .withColumn("next_text", F.lead("text").over(line))
-        .filter("not marker")
-        .select("doc_id", "text", "next_text")
-    )
-
-
-def compare_versions(docs: DataFrame) -> DataFrame:
+
+def compare(a: list[str], b: list[str]) -> list[float | None]:
+    """Likeness from printed fingerprints alone; None where they differ by more than their
+    sketches hold and larger ones are needed."""
+    (one, sizes), (two, others) = parsed(a), parsed(b)
+    _, owner, _, done = subtract(one, two).peel()
+    d = np.bincount(owner, minlength=len(a))
+    return [(1 - int(d[k]) / (m + n) if m + n else 1.0) if done[k] else None for k, (m, n) in enumerate(zip(sizes, others, strict=True))]
+
+
+FIELDS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_paragraphs long"
+
+
+def edited(text: str, following: str) -> str:
+    """The last half of the code points replaced by as many of the next document's."""
+    half = len(text) // 2
+    return text[: len(text) - half] + following[:half]
+
+
+def compared(ids: list, texts: list[str], following: list[str]) -> list[list]:
+    """The columns of FIELDS for documents with their next ones."""
+    new = [edited(t, x) for t, x in zip(texts, following, strict=True)]
+    sets = [[digests(t) for t in side] for side in (texts, new, following)]
+    sizes = [[len(x) for x in side] for side in sets]
+    own, changed, after = (sketch(side, widths(n)) for side, n in zip(sets, sizes, strict=True))
+    return [
+        ids, [len(t) for t in texts], [hashlib.sha256(t.encode()).hexdigest() for t in new], printed(own, sizes[0]), printed(changed, sizes[1]),
+        likeness(sets[0], sets[1], (own, changed)), likeness(sets[0], sets[2], (own, after)), sizes[0],
+    ]
+
+
+def _batch(columns: list, extra: dict) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    fields = [f.split() for f in FIELDS.split(", ")]
+    arrays = {name: pa.array(c, kinds[kind]) for (name, kind), c in zip(fields, columns, strict=True)}
+    return pa.RecordBatch.from_pydict(arrays | extra)
+
+
+def _line(rows: int):
+    """Pairs each row of a sorted partition with the next, as they are read. The first and
+    the last text of the partition go out as they are (end 1 and 2)."""
+
+    def out(ids, texts, following):
+        n = len(ids)
+        return _batch(compared(ids, texts, following), {"part": pa.nulls(n, pa.int32()), "end": pa.array([0] * n, pa.int32()), "text": pa.nulls(n, pa.string())})
+
+    def edge(end: int, ident, text: str):
+        blank = [[ident], *([None] for _ in FIELDS.split(", ")[1:])]
+        return _batch(blank, {"part": pa.array([TaskContext.get().partitionId()], pa.int32()), "end": pa.array([end], pa.int32()), "text": pa.array([text])})
+
+    def run(batches):
+        last = None
+        for big in batches:
+            for k in range(0, big.num_rows, rows):
+                b = big.slice(k, rows)
+                ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+                if last is None:
+                    yield edge(1, ids[0], texts[0])
+                else:
+                    ids, texts = [last[0], *ids], [last[1], *texts]
+                last = ids[-1], texts[-1]
+                if len(ids) > 1:
+                    yield out(ids[:-1], texts[:-1], texts[1:])
+        if last is not None:
+            yield edge(2, *last)
+
+    return run
+
+
+def compare_versions(docs: DataFrame, rows: int = 512) -> DataFrame:
     """Fingerprints of each text and of its edited text, and their likeness.
 
     The edit replaces the last half of the code points by as many of the next document's.
+    Rows are dealt by ranges of (doc_id, text hash) and sorted, and every task pairs its rows
+    as it reads them, ``rows`` at a time, so a null or repeated doc_id fills no task, and no
+    range is gathered. Of each partition one text is sent on, to the partition before it.
     """
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half))
-    rows = with_next(docs).select(
-        "doc_id", n.cast("long").alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"), "text", edited.alias("edited"), "next_text"
-    )
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_paragraphs"]
+    text = F.coalesce("text", F.lit(""))
+    # The row number only says where rows equal in id and text may be cut.
+    keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_row"))
+    by = [F.desc_nulls_last("doc_id"), F.col("_hash"), F.col("_row")]
+    line = keyed.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
+    found = materialise(line.mapInArrow(_line(rows), f"{FIELDS}, part int, end int, text string"), "fingerprints")
+    names = [f.split()[0] for f in FIELDS.split(", ")]
+    ends = found.filter("end > 0").select("part", "end", "doc_id", "text")
+    # The numbers of the partitions that hold rows: as many as the shuffle has tasks.
+    parts = sorted(r["part"] for r in ends.filter("end = 1").select("part").collect())
+    follows = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, next int")
+    firsts = ends.filter("end = 1").select(F.col("part").alias("next"), F.col("text").alias("next_text"))
+    lasts = ends.filter("end = 2").join(follows, "part").join(firsts, "next").select("doc_id", "text", "next_text")
 
     def run(batches):
-        for big in batches:
-            for k in range(0, max(1, big.num_rows), 512):
-                b = big.slice(k, 512)
-                own, new, following = ([digests(t) for t in b.column(c).to_pylist()] for c in (3, 4, 5))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *b.columns[:3], pa.array(fingerprints(own), pa.string()), pa.array(fingerprints(new), pa.string()),
-                        pa.array(likeness(own, new), pa.float64()), pa.array(likeness(own, following), pa.float64()),
-                        pa.array([len(x) for x in own], pa.int64()),
-                    ],
-                    names=names,
-                )
-
-    return rows.mapInArrow(
-        run,
-        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, n_paragraphs long",
-    )
+        for b in batches:
+            if b.num_rows:
+                yield _batch(compared(*(b.column(k).to_pylist() for k in range(3))), {})
+
+    return found.filter("end = 0").select(*names).unionByName(lasts.mapInArrow(run, FIELDS))
+

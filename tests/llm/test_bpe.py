@@ -39,6 +39,33 @@ def test_matches_the_library(library):
     assert list(TextEncoder(PATH, cache_words=50).rows(texts)) == [expected(library, t) for t in texts]
 
 
+def same_ids(library, texts):
+    rows = [(n, h) for n, h, _ in TextEncoder(PATH).rows(texts)]
+    coded = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert rows == [(len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()) for ids in coded]
+
+
+def test_every_code_point(library):
+    # All of the planes with letters; of the empty and private ones every 16th.
+    every = [chr(c) for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF and (c < 0x34000 or 0xE0000 <= c < 0xE1000 or c % 16 == 0)]
+    same_ids(library, [" ".join(f"a{c}b A{c}'s" for c in every[k : k + 256]) for k in range(0, len(every), 256)])
+
+
+def test_random_strings(library):
+    rng = random.Random(11)
+    pool = [chr(c) for c in range(32, 0x20000) if chr(c).isprintable()] + list("aAbBsStT'' \u1e47\u0307\u0301\u0130\u03a3각") * 600
+    same_ids(library, [" ".join("".join(rng.choice(pool) for _ in range(12)) for _ in range(50)) for _ in range(2000)])
+
+
+def test_query(spark, library):
+    from braidwork.llm.queries import op4_bpe
+
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in op4_bpe(spark, folder).collect()}
+    assert got == {k: expected(library, t) for k, t in texts.items()}
+
+
 def test_long_texts(library):
     text = "The quick brown fox\n" * 60_000 + "x" * 5000
     assert "".join(pieces(text, 1000)) == text

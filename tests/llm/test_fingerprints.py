@@ -3,17 +3,20 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
-from braidwork.llm.fingerprints import compare_versions, differences, digests, fingerprints, with_next
+from braidwork.llm.fingerprints import compare, compare_versions, compared, differences, digests, parsed, printed, sketch, widths
 from braidwork.llm.queries import op1_fingerprints
 
 
-def brute(rows):
+def brute(docs):
     """(doc_id, n_chars, edited hash, likeness to edited, likeness to next)."""
     out = Counter()
-    rows = sorted(rows, key=lambda r: -r[0])
-    for k, (i, t) in enumerate(rows):
-        t, following = t or "", rows[(k + 1) % len(rows)][1] or ""
+    rows = [tuple(r) for r in docs.select("doc_id", F.coalesce("text", F.lit("")), F.xxhash64(F.coalesce("text", F.lit("")))).collect()]
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+    for k, (i, t, _) in enumerate(rows):
+        following = rows[(k + 1) % len(rows)][1]
         half = len(t) // 2
         edited = t[: len(t) - half] + following[:half]
         near = []
@@ -29,8 +32,7 @@ def rows_of(df):
 
 
 def test_query_matches_brute_force(spark, sf_dir):
-    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
-    assert rows_of(op1_fingerprints(spark, sf_dir)) == brute(rows)
+    assert rows_of(op1_fingerprints(spark, sf_dir)) == brute(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def test_peeling_recovers_the_difference():
@@ -45,23 +47,52 @@ def test_peeling_recovers_the_difference():
         assert set(keys[sign == -1].tolist()) == set(y.tolist()) - set(x.tolist())
 
 
+def prints(*texts):
+    sets = [digests(t) for t in texts]
+    return printed(sketch(sets, widths([len(x) for x in sets])), [len(x) for x in sets])
+
+
 def test_equal_texts_have_equal_fingerprints():
-    one, two, other = fingerprints([digests("A b. C d."), digests("A b. C d."), digests("A b. C e.")])
+    one, two, other = prints("A b. C d.", "A b. C d.", "A b. C e.")
     assert one == two != other
+    again = parsed([one, other])
+    assert printed(*again) == [one, other]
+
+
+def test_printed_fingerprints_give_the_likeness_of_near_versions():
+    rng = random.Random(3)
+    words = ["".join(rng.choice("aeilmnorstu") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    text = ". ".join(" ".join(rng.choice(words) for _ in range(rng.randrange(4, 30))) for _ in range(300))
+    near = text[:900] + "x" + text[900:7000] + text[7100:]
+    for a, b in ((text, near), (near, text), (text, text), ("", ""), (text, text[: len(text) * 19 // 20])):
+        x, y = set(digests(a).tolist()), set(digests(b).tolist())
+        assert compare(prints(a), prints(b)) == [1 - len(x ^ y) / (len(x) + len(y)) if x or y else 1.0]
+    assert len(set(digests(text).tolist()) ^ set(digests(near).tolist())) < 16  # a letter changes its own part only
+    assert compare(prints(text), prints("other. " * 3)) == [None]
+    assert compared([1], [text], ["other. words"])[6][0] < 0.01  # retried larger
 
 
 def test_unusual_rows(spark, make_docs):
     rows = [(5, "e"), (5, "f"), (3, None), (2, ""), (1, "x. y. z " * 9000), (None, "none")]
-    for size in (1, 2, 100):
-        got = with_next(make_docs(rows), rows_per_bucket=size).collect()
-        following = Counter((r.doc_id, r.text[:4], r.next_text[:4]) for r in got)
-        fives = [x for x in ("e", "f")]
-        assert sum(following.values()) == 6
-        chain = {(r.doc_id, r.text): r.next_text for r in got}
-        start = next(t for t in fives if chain[5, t] in fives)
-        second = chain[5, start]
-        assert chain[5, second] == "" and chain[3, ""] == "" and chain[2, ""].startswith("x.") and chain[1, rows[4][1]] == "none"
-        assert chain[None, "none"] == start
+    docs = make_docs(rows)
+    assert rows_of(compare_versions(docs)) == rows_of(compare_versions(docs, rows=1)) == brute(docs)
     alone = compare_versions(make_docs([(1, "a b c d")])).first()
     assert alone.edited_sha256 == hashlib.sha256(b"a b a b"[:4] + b"a b").hexdigest() and alone.near_next == 1.0
     assert compare_versions(make_docs([])).count() == 0
+
+
+@pytest.mark.parametrize("parts", ["1", "7", "50"])
+def test_large_null_and_repeated_ids(spark, make_docs, parts):
+    """Ids beyond 2**53 beside nulls, and ids that many rows share, on any partitions."""
+    rng = random.Random(6)
+    rows = [(2**60 + k // 2, f"Text {k}. " + "More. " * rng.randrange(4)) for k in range(200)]
+    rows += [(None, f"null {k}") for k in range(1500)] + [(7, f"seven {k % 400}") for k in range(1200)] + [(-3, "same")] * 500
+    docs = make_docs(rows)
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        result = compare_versions(docs, rows=50).cache()
+        assert rows_of(result) == brute(docs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
