@@ -7,8 +7,10 @@ and the quota's blocks are cut from the front; whole passes come first, so a doc
 taken at most ``max_repeats`` times its size.
 
 Shards split every source by a hash of the document, so a source with a third of all rows
-is spread over as many tasks as it has shards. Only one row per source and one per shard
-are gathered, never documents.
+is spread over as many tasks as it has shards. Blocks are apportioned among shards in Spark:
+an aggregation counts the seats above a grid of thresholds, a few rounds close in on the
+threshold quotient, and the shards at the threshold are ranked. One row per source is
+gathered, never one per shard or document.
 
 Defined results for unusual rows: null text has size 0 and takes 0; a null source is a
 source of its own that comes last; a null doc_id or repeated rows are taken like any
@@ -18,6 +20,8 @@ result; columns beyond doc_id, text and source are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +78,63 @@ def sainte_lague(weights: list[float], seats: int, limits: list[int] | None = No
     return out
 
 
+def shard_quotas(shards: DataFrame, seats: dict, spread: int = 32, rounds: int = 16) -> DataFrame:
+    """``shards`` (source, shard, weight, limit) with the quota of each: within a source the
+    same seats as ``sainte_lague`` gives. ``seats`` has the seats of each source.
+
+    Held seats fall as the threshold rises. Each round counts them at ``spread`` thresholds
+    of every source in one aggregation and keeps the interval that holds the last seat.
+    Where several shards share the threshold, the earlier ones get the seats that are left.
+    """
+    spark = shards.sparkSession
+    held = lambda q: F.when(F.col("weight") > 0, F.least(F.col("limit"), F.floor((F.col("weight") / q + 1) / 2))).otherwise(F.lit(0)).cast("long")
+    some = F.col("weight") > 0
+    sums = shards.filter(some).groupBy("source").agg(F.max("weight").alias("top"), F.min("weight").alias("least"), F.sum("limit").alias("room"), F.max("limit").alias("most"), F.sum("weight").alias("all"), F.count("*").alias("n")).collect()
+    want = {r["source"]: min(seats.get(r["source"], 0), r["room"]) for r in sums}
+    # At ``floor`` every shard has all that it can hold, at twice the largest weight nobody has
+    # a seat. Rounding moves the seats of n shards by n / 2 at most, which tells more: the
+    # higher bound always holds, the lower one unless limits bind.
+    floor = {r["source"]: r["least"] / (2 * r["most"] + 1) for r in sums}
+    span = {}
+    for r in sums:
+        if seats_of := want[r["source"]]:
+            high = r["all"] / (2 * seats_of - r["n"]) if 2 * seats_of > r["n"] else math.inf
+            span[r["source"]] = [r["all"] / (2 * seats_of + r["n"]) * (1 - 1e-9), min(2 * r["top"], high * (1 + 1e-9))]
+    kinds = "q_source string, low double, high double"
+    open_ = set(span)  # sources whose threshold isn't settled
+    for _ in range(rounds):
+        open_ = {s for s in open_ if span[s][1] / span[s][0] > 1 + 1e-9}
+        if not open_:
+            break
+        state = spark.createDataFrame([(s, *span[s]) for s in open_], kinds)
+        # One row a source, as in the plan of the sources.
+        both = shards.join(F.broadcast(state), F.col("source").eqNullSafe(F.col("q_source"))).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+        counts = both.withColumn("q", F.col("low") * F.pow(F.col("high") / F.col("low"), F.col("k") / spread)).groupBy("source", "k", "q").agg(F.sum(held(F.col("q"))).alias("n"))
+        grid: dict = {s: {0: span[s][0], spread: span[s][1]} for s in open_}
+        first, exact = dict.fromkeys(open_, -1), set()
+        for r in counts.collect():
+            grid[r["source"]][r["k"]] = r["q"]
+            if r["n"] > want[r["source"]]:  # too many seats: the threshold is higher
+                first[r["source"]] = max(first[r["source"]], r["k"])
+            elif r["n"] == want[r["source"]]:  # nobody is left out above it
+                exact.add((r["source"], r["k"]))
+        span |= {s: [grid[s].get(k, floor[s]), grid[s][k + 1]] for s, k in first.items()}
+        open_ -= {s for s, k in first.items() if (s, k + 1) in exact}
+    state = spark.createDataFrame([(s, span[s][0], span[s][1], want[s]) for s in span], kinds + ", want long")
+    both = shards.join(F.broadcast(state), F.col("source").eqNullSafe(F.col("q_source")), "left")
+    sure = both.select("source", "shard", "weight", "limit", "low", "want", F.when(F.col("high").isNull(), F.lit(0)).otherwise(held(F.col("high"))).cast("long").alias("held"))
+    sure = sure.withColumn("next", F.col("weight") / (2 * F.col("held") + 1))
+    left = {r["source"]: r["want"] - r["n"] for r in sure.filter("want is not null").groupBy("source").agg(F.first("want").alias("want"), F.sum("held").alias("n")).collect()}
+    rest = spark.createDataFrame(list(left.items()), "r_source string, missing long")
+    # Ranked are the shards at the threshold alone.
+    at = sure.filter((F.col("next") >= F.col("low") * (1 - 1e-9)) & (F.col("held") < F.col("limit")))
+    ranked = at.withColumn("rank", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("next"), "shard")))
+    more = ranked.join(F.broadcast(rest), F.col("source").eqNullSafe(F.col("r_source"))).filter("rank <= missing")
+    more = more.select(F.col("source").alias("m_source"), F.col("shard").alias("m_shard"), F.lit(1).alias("_one"))
+    out = sure.join(more, F.col("source").eqNullSafe(F.col("m_source")) & (F.col("shard") == F.col("m_shard")), "left")
+    return out.select("source", "shard", (F.col("held") + F.coalesce("_one", F.lit(0))).alias("quota"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -104,17 +165,12 @@ def mix_sources(
     placed = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("p_source"))).withColumn(
         "shard", F.pmod(F.hash("_order"), F.col("shards"))
     )
-    cells = placed.groupBy("p_source", "shard").agg(F.sum("size").alias("cell_size"), F.first("seats").alias("seats"))
-    by_source: dict = {}
-    for r in cells.collect():
-        by_source.setdefault(r["p_source"], []).append((r["shard"], r["cell_size"], r["seats"]))
-    quotas = []
-    for s, rows in by_source.items():
-        rows.sort()
-        limits = [-(-int(max_repeats * size) // block_words) for _, size, _ in rows]
-        got = sainte_lague([float(size) for _, size, _ in rows], rows[0][2], limits)
-        quotas += [(s, shard, size, q) for (shard, size, _), q in zip(rows, got, strict=True)]
-    quota = spark.createDataFrame(quotas, "q_source string, q_shard int, cell_size long, quota long")
+    limit = F.ceil((F.col("cell_size") * max_repeats).cast("long") / block_words)
+    cells = placed.groupBy(F.col("p_source").alias("q_source"), F.col("shard").alias("q_shard")).agg(F.sum("size").alias("cell_size"))
+    cells = materialise(cells.withColumn("limit", limit.cast("long")), "mix-shards")
+    shares = shard_quotas(cells.select(F.col("q_source").alias("source"), F.col("q_shard").alias("shard"), F.col("cell_size").cast("double").alias("weight"), "limit"), dict(zip(names, seats, strict=True)))
+    same = F.col("q_source").eqNullSafe(F.col("source")) & (F.col("q_shard") == F.col("shard"))
+    quota = materialise(cells.join(shares, same).select("q_source", "q_shard", "cell_size", "quota"), "mix-quotas")
     full = placed.join(quota, F.col("p_source").eqNullSafe(F.col("q_source")) & (F.col("shard") == F.col("q_shard")))
     line = Window.partitionBy("p_source", "shard").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     return full.withColumn("_start", F.coalesce(F.sum("size").over(line), F.lit(0))).select(

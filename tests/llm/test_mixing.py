@@ -1,6 +1,8 @@
 import random
 
-from braidwork.llm.mixing import fill_targets, mix_sources, mixed_documents, sainte_lague
+from pyspark.sql import functions as F
+
+from braidwork.llm.mixing import fill_targets, mix_sources, mixed_documents, sainte_lague, shard_quotas
 
 
 def by_quotients(weights, seats, limits):
@@ -21,6 +23,57 @@ def test_apportionment():
         assert sainte_lague([float(w) for w in weights], seats, limits) == by_quotients(weights, seats, limits)
 
 
+def test_apportionment_in_spark(spark):
+    """The aggregation gives the seats of the quotients, with ties and limits."""
+    rng = random.Random(9)
+    rows, seats, expected = [], {}, {}
+    for s in ("a", "b", None, "empty", "equal", "huge"):
+        n = 400 if s == "equal" else rng.randrange(1, 60)
+        weights = [{"empty": 0, "equal": 250, "huge": 10 ** (1 + k % 7)}.get(s, rng.choice([0, 1, 3, 3, 9, rng.randrange(9000)])) for k in range(n)]
+        limits = [rng.randrange(1, 90) for _ in range(n)]
+        seats[s] = {"equal": 777, "b": 10**6}.get(s, rng.randrange(900))
+        rows += [(s, k, float(w), m) for k, (w, m) in enumerate(zip(weights, limits, strict=True))]
+        expected |= {(s, k): q for k, q in enumerate(by_quotients(weights, seats[s], limits))}
+    shards = spark.createDataFrame(rows, "source string, shard int, weight double, limit long").repartition(5)
+    assert {(r.source, r.shard): r.quota for r in shard_quotas(shards, seats).collect()} == expected
+
+
+def brute_taken(docs, block=64, shard_words=250_000):
+    """(doc_id, size, taken) by laying every shard's documents end to end."""
+    hashed = docs.select("doc_id", "text", "source", F.xxhash64("doc_id", "text", F.lit(17)).alias("h"))
+    rows = [(*r, len((r.text or "").split())) for r in hashed.withColumn("b", F.hash("h")).collect()]
+    sizes: dict = {}
+    for r in rows:
+        sizes[r[2]] = sizes.get(r[2], 0) + r[5]
+    targets = brute_targets([r[:3] for r in rows])
+    names = list(targets)
+    blocks = by_quotients([targets[s][1] for s in names], round(sum(t for _, t in targets.values()) / block), [10**9] * len(names))
+    out = []
+    for s, n in zip(names, blocks, strict=True):
+        parts: dict = {}
+        for r in rows:
+            if r[2] == s:
+                parts.setdefault(r[4] % max(1, -(-sizes[s] // shard_words)), []).append(r)
+        keys = sorted(parts)
+        weights = [sum(r[5] for r in parts[k]) for k in keys]
+        for k, w, q in zip(keys, weights, by_quotients(weights, n, [-(-2 * w // block) for w in weights]), strict=True):
+            line = sorted(parts[k], key=lambda r: (r[3], (r[0] is not None, r[0] or 0), r[5]))
+            words, at = min(q * block, 2 * w), 0
+            for r in line:
+                taken = (words // w) * r[5] + max(0, min(r[5], words % w - at)) if w else 0
+                out.append((r[0], r[5], taken))
+                at += r[5]
+    return sorted(out)
+
+
+def test_query_matches_a_slow_version(spark, sf_dir):
+    from braidwork.llm.queries import op8_mixing
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert sorted((r.doc_id, r.size, r.taken) for r in op8_mixing(spark, sf_dir).collect()) == brute_taken(docs)
+    assert sorted((r.doc_id, r.size, r.taken) for r in mix_sources(docs, shard_words=700).collect()) == brute_taken(docs, shard_words=700)
+
+
 def test_targets():
     assert fill_targets([100, 100], [1, 1], 150, 2) == [75, 75]
     assert fill_targets([10, 1000], [5, 1], 1515, 2) == [20, 1495]
