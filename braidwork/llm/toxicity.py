@@ -2,23 +2,32 @@
 
 A lexicon of terms (words and word beginnings) is learned from labelled rows and kept in
 a trie. Each distinct word of a text is read by a Levenshtein automaton of one edit that
-walks the trie, so a term is caught when a letter is wrong, missing or added. A hit is
-judged in its window of words: beside quotation marks or words of reporting it counts as
-quotation, else as abuse. How much a term, an edit and a context weigh is learned from
-the same labelled rows; a text's score is the probability that its strongest hit gives.
+walks the trie, so a term is caught when a letter is wrong, missing or added; a digit or
+sign inside a word is a wrong letter. Terms of fewer than five letters are met without
+edits only. A hit is judged in its window of words: between a pair of quotation marks of the
+same line that both stand in the window, or beside a word of reporting, it counts as
+quotation, else as abuse. Words of reporting, in whatever language, are learned: they stand
+near the terms in clean labelled rows and hardly ever in toxic ones. How much a term, an
+edit and a context weigh is learned from the same rows; a text's score is the probability
+that its strongest hit gives.
 
 The learning rows are a bounded sample: at most ``per_label`` rows of each label, drawn
-by a hash of the id among the rows that aren't held out.
+by a hash of the id among the rows that aren't held out. What is gathered from it, the
+lexicon and its weights, is bounded by it too. Terms are words or word beginnings of 4 to 12
+letters; a longer word is met by its beginning.
 
 Defined results for unusual rows: null and empty text score as a text without a hit; a
 null doc_id is scored, never trained on and not held out; repeated rows score alike; an
 empty table gives an empty result, a table without labels scores 0; labels that name an id
-twice count as toxic if one does; other columns are ignored. Texts are read whole.
+twice, or texts that stand under several ids, count as toxic once one of them does; of
+equally good terms the longest, then the last by its letters is taken; other columns are
+ignored. Texts are read whole.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 
 import pyarrow as pa
 import regex
@@ -28,10 +37,28 @@ from pyspark.sql import functions as F
 from braidwork.llm.common import materialise
 from braidwork.llm.language import bounded_sample
 
-_WORD = regex.compile(r"\p{L}+")
-_QUOTES = frozenset("\"'`«»“”‘’„")
-# Words that report what someone else said.
-REPORTING = frozenset("said says say called calls call quote quoted quotes wrote writes word words term terms phrase slur insult".split())
+# A word begins and ends with a letter; digits and signs may stand in it.
+_WORD = regex.compile(r"\p{L}(?:[\p{L}\p{N}*@$!+#]*\p{L})?")
+# Quotation marks; an apostrophe between letters is none.
+_MARK = regex.compile(r"[\"`«»“”„]|(?<!\p{L})['‘’]|['‘’](?!\p{L})|\n")
+# The marks that close each opening mark.
+CLOSES = {'"': '"', "`": "`", "«": "»", "»": "«", "“": "”", "„": "“”", "'": "'", "‘": "’", "’": "’"}
+
+
+def quoted_spans(text: str) -> list[tuple[int, int]]:
+    """Places of the pairs of quotation marks, each on one line, in order and not nested."""
+    out, opened = [], None
+    for m in _MARK.finditer(text):
+        c, at = m.group(), m.start()
+        if c == "\n":
+            opened = None
+        elif opened is not None and c in CLOSES[text[opened]]:
+            out.append((opened, at))
+            opened = None
+        # A single mark opens only before a letter and after none.
+        elif opened is None and c in CLOSES and (c not in "'’" or (at + 1 < len(text) and text[at + 1].isalpha() and (at == 0 or not text[at - 1].isalpha()))):
+            opened = at
+    return out
 
 
 class Lexicon:
@@ -75,12 +102,17 @@ class Lexicon:
 class Scanner:
     """Hits of a text, remembering what up to ``cache`` words gave."""
 
-    def __init__(self, terms, cache: int = 400_000, window: int = 4):
+    def __init__(self, terms, reporting=(), cache: int = 400_000, window: int = 4):
         self.lexicon, self.cache, self.window = Lexicon(terms), cache, window
+        self.reporting = frozenset(reporting)
         self.known: dict[str, tuple[str, int] | None] = {}
 
     def hits(self, text: str | None) -> set[tuple[str, int, bool]]:
         """Distinct (term, edits, quoted) of a text."""
+        return self.read(text)[0]
+
+    def read(self, text: str | None, near: bool = False) -> tuple[set[tuple[str, int, bool]], set[str]]:
+        """The hits, and on demand the other words that stand in a hit's window."""
         text = (text or "").lower()
         known, match = self.known, self.lexicon.match
         words = set(_WORD.findall(text))
@@ -92,20 +124,20 @@ class Scanner:
                 known[w] = match(w)
             if known[w] is not None:
                 some.add(w)
-        out = set()
+        out, around = set(), set()
         if some:
             spans = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(text)]
+            quotes = quoted_spans(text)
+            starts = [a for a, _ in quotes]
             for k, (w, a, b) in enumerate(spans):
                 if w in some:
-                    out.add((*known[w], self._quoted(text, spans, k, a, b)))
-        return out
-
-    def _quoted(self, text: str, spans, k: int, a: int, b: int) -> bool:
-        near = spans[max(0, k - self.window) : k + self.window + 1]
-        if any(w in REPORTING for w, _, _ in near):
-            return True
-        before, after = text[near[0][1] : a], text[b : near[-1][2] + 1]
-        return any(c in _QUOTES for c in before) and any(c in _QUOTES for c in after)
+                    window = spans[max(0, k - self.window) : k + self.window + 1]
+                    q = bisect_right(starts, a) - 1
+                    marked = q >= 0 and quotes[q][1] >= b and quotes[q][0] >= window[0][1] - 1 and quotes[q][1] <= window[-1][2]
+                    out.add((*known[w], marked or any(x in self.reporting for x, _, _ in window)))
+                    if near:
+                        around |= {x for x, _, _ in window if x not in some}
+        return out, around
 
 
 def held_out():
@@ -120,16 +152,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFra
     return docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(F.broadcast(ids), "doc_id")
 
 
-def least_rows(n_toxic: int, n_clean: int, share: float = 0.02, chance: float = 1e-7) -> int:
-    """Toxic rows a term must stand in: a share of them, and so many that a term of no
-    meaning would be in toxic rows alone only by the given chance."""
-    return max(5, math.ceil(share * n_toxic), math.ceil(math.log(chance) / math.log(n_toxic / (n_toxic + n_clean))))
+def least_rows(n_these: int, n_others: int, chance: float = 1e-7) -> int:
+    """Rows of one kind that a word must stand in: so many that a word of no meaning would
+    be in rows of that kind alone only by the given chance."""
+    return max(5, math.ceil(math.log(chance) / math.log(n_these / (n_these + n_others))))
 
 
-def learn_terms(train: DataFrame, shortest: int = 4, longest: int = 12, purity: float = 0.95, size: int = 2000) -> list[str]:
+def learn_terms(train: DataFrame, shortest: int = 4, longest: int = 12, purity: float = 0.95) -> list[str]:
     """Words and word beginnings that mark toxic rows, the longest of those that stand in
-    the same rows, at most ``size``."""
-    train = train.dropDuplicates(["text"])
+    the same rows."""
+    train = train.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
     words = F.array_distinct(F.regexp_extract_all("text", F.lit("(\\p{L}+)"), F.lit(1)))
     heads = F.transform(F.sequence(F.lit(shortest), F.least(F.length("w"), F.lit(longest))), lambda n: F.substring(F.col("w"), F.lit(1), n))
     terms = train.select("doc_id", "toxic", F.explode(words).alias("w")).filter(F.length("w") >= shortest).select("doc_id", "toxic", F.explode(heads).alias("term"))
@@ -137,7 +169,7 @@ def learn_terms(train: DataFrame, shortest: int = 4, longest: int = 12, purity:
     sizes = train.groupBy().agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n")).first()
     share = (F.col("t") / max(sizes["t"] or 0, 1)) / (F.col("t") / max(sizes["t"] or 0, 1) + F.col("n") / max(sizes["n"] or 0, 1))
     least = least_rows(sizes["t"] or 0, sizes["n"] or 0) if sizes["t"] and sizes["n"] else 1
-    rows = counts.filter((F.col("t") >= least) & (share >= purity)).orderBy(F.desc("t"), "term").limit(4 * size).collect()
+    rows = counts.filter((F.col("t") >= least) & (share >= purity)).collect()
     found = {r["term"]: r["t"] for r in rows}
     followed: dict[str, int] = {}
     for t, n in found.items():
@@ -148,16 +180,35 @@ def learn_terms(train: DataFrame, shortest: int = 4, longest: int = 12, purity:
         covered = any(t[:k] in kept for k in range(shortest, len(t)))
         if not covered and followed.get(t, 0) < 0.9 * found[t]:
             kept.add(t)
-    return sorted(kept, key=lambda t: (-found[t], t))[:size]
+    return sorted(kept, key=lambda t: (-found[t], t))
+
 
+def learn_reporting(train: DataFrame, terms: list[str], purity: float = 0.95) -> list[str]:
+    """Words that stand in the windows of terms in clean rows and hardly in toxic ones."""
 
-def _hits(docs: DataFrame, terms: list[str], columns: list[str]) -> DataFrame:
+    def run(batches):
+        scanner = Scanner(terms)
+        for b in batches:
+            found = [sorted(scanner.read(x, near=True)[1]) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string()))], names=["toxic", "near"])
+
+    near = train.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, "toxic int, near array<string>").filter(F.size("near") > 0)
+    words = near.select("toxic", F.explode(F.array_append("near", F.lit(""))).alias("w"))
+    counts = materialise(words.groupBy("w").agg(F.sum(1 - F.col("toxic")).alias("n"), F.sum("toxic").alias("t")), "toxic-near")
+    every = counts.filter("w = ''").first()  # the rows with a hit
+    if every is None or not every["n"] or not every["t"]:
+        return []
+    share = (F.col("n") / every["n"]) / (F.col("n") / every["n"] + F.col("t") / every["t"])
+    return [r["w"] for r in counts.filter((F.col("w") != "") & (F.col("n") >= least_rows(every["n"], every["t"])) & (share >= purity)).orderBy("w").collect()]
+
+
+def _hits(docs: DataFrame, terms: list[str], reporting: list[str], columns: list[str]) -> DataFrame:
     """``columns`` and the distinct hits of each row as an array."""
     n = len(columns)
     hit = pa.list_(pa.struct([("term", pa.string()), ("edits", pa.int32()), ("quoted", pa.bool_())]))
 
     def run(batches):
-        scanner = Scanner(terms)
+        scanner = Scanner(terms, reporting)
         for b in batches:
             found = [[{"term": t, "edits": e, "quoted": q} for t, e, q in sorted(scanner.hits(x))] for x in b.column(n).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(found, hit)], names=[*columns, "hits"])
@@ -167,15 +218,17 @@ def _hits(docs: DataFrame, terms: list[str], columns: list[str]) -> DataFrame:
     return source.mapInArrow(run, f"{kinds}, hits array<struct<term:string,edits:int,quoted:boolean>>")
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = 4000) -> tuple[list[str], dict, float]:
-    """Terms, the weight of every (term, edits, quoted), and the weight of no hit at all."""
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 4000) -> tuple[list[str], list[str], dict, float]:
+    """Terms, words of reporting, the weight of every (term, edits, quoted), and the weight
+    of no hit at all."""
     train = materialise(training_rows(docs, labels, per_label), "toxic-train")
     sizes = train.groupBy().agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n")).first()
     n_toxic, n_clean = sizes["t"] or 0, sizes["n"] or 0
     if not n_toxic or not n_clean:
-        return [], {}, -50.0
+        return [], [], {}, -50.0
     terms = learn_terms(train)
-    found = materialise(_hits(train, terms, ["doc_id", "toxic"]), "toxic-hits")
+    reporting = learn_reporting(train, terms)
+    found = materialise(_hits(train, terms, reporting, ["doc_id", "toxic"]), "toxic-hits")
     weigh = lambda t, n: math.log((t + 0.5) / (n_toxic + 1)) - math.log((n + 0.5) / (n_clean + 1))
     weights, seen = {}, {}
     rows = found.select("toxic", F.explode("hits").alias("h")).groupBy("h.term", "h.edits", "h.quoted").agg(
@@ -191,16 +244,16 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = 4000) -> tuple[list
             quoted = seen.get((t, edits, True), (0, 0))
             weights[t, edits, True] = weigh(*quoted) if sum(quoted) >= 5 else 0.25 * weights[t, edits, False]
     without = found.filter(F.size("hits") == 0).groupBy().agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("n")).first()
-    return terms, weights, weigh(without["t"] or 0, without["n"] or 0)
+    return terms, reporting, weights, weigh(without["t"] or 0, without["n"] or 0)
 
 
 def predict(docs: DataFrame, model, prior: float = 0.1, cut: float = 0.7) -> DataFrame:
-    terms, weights, none = model
+    terms, reporting, weights, none = model
     base = math.log(prior / (1 - prior))
     source = docs.select("doc_id", held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
 
     def run(batches):
-        scanner = Scanner(terms)
+        scanner = Scanner(terms, reporting)
         for b in batches:
             scores, counts = [], []
             for x in b.column(2).to_pylist():

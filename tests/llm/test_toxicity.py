@@ -1,5 +1,7 @@
+import math
 import random
 
+from braidwork.llm import toxicity
 from braidwork.llm.queries import op2_toxicity
 from braidwork.llm.toxicity import Lexicon, Scanner, score_toxicity
 
@@ -33,7 +35,12 @@ def test_context():
     s = Scanner(["idiot"])
     assert s.hits("you idiot there") == {("idiot", 0, False)}
     assert s.hits('the "idiot" there') == {("idiot", 0, True)}
-    assert s.hits("people said idiot once") == {("idiot", 0, True)}
+    assert s.hits('he wrote «you idiot» and "more"') == {("idiot", 0, True)} and s.hits("‘idiot’, 'an idiot here'") == {("idiot", 0, True)}
+    assert s.hits("people said idiot once") == {("idiot", 0, False)}
+    assert Scanner(["idiot"], ["said"]).hits("people said idiot once") == {("idiot", 0, True)}
+    for abuse in ("I'm sure you're an idiot and you'll lose it's done", "don't be an idiot, that's it", "in other words you idiot", 'so "far" an idiot is "near"', 'an "open\nidiot" line', "the students' idiot friends' car"):
+        assert s.hits(abuse) == {("idiot", 0, False)}, abuse
+    assert s.hits("id1ot st*ff") == s.hits("an i*iot") == {("idiot", 1, False)}
     assert s.hits("an idioot and IDIOTS") == {("idiot", 1, False), ("idiot", 0, False)} and s.hits(None) == set()
 
 
@@ -57,4 +64,46 @@ def test_unusual_rows(spark, make_docs):
     late = sorted((str(r.doc_id), r.predicted) for r in got if r.doc_id is None or r.doc_id >= 900)
     assert late == [("900", 0), ("901", 0), ("902", 1), ("903", 0), ("903", 1), ("None", 1)]
     assert score_toxicity(make_docs([]), labels).count() == 0
+    again = score_toxicity(make_docs(rows).repartition(11), labels).collect()
+    assert sorted((str(r.doc_id), r.score) for r in again) == sorted((str(r.doc_id), r.score) for r in got)
     assert {r.predicted for r in score_toxicity(make_docs(rows[:3]), labels.limit(0)).collect()} == {0}
+
+
+def slow_scores(texts, terms, reporting, weights, none):
+    """Scores by distances to every term, window by window."""
+    out = {}
+    for i, text in texts.items():
+        text = (text or "").lower()
+        words = [(m.group(), m.start(), m.end()) for m in toxicity._WORD.finditer(text)]
+        quotes, best = toxicity.quoted_spans(text), none
+        for k, (w, a, b) in enumerate(words):
+            found = []
+            for t in terms:
+                for n in range(max(0, len(t) - 1), min(len(w), len(t) + 1) + 1):
+                    d = 0 if w[:n] == t else distance(w[:n], t) if len(t) >= 5 and len(w) >= 4 else 9
+                    if d < 2:
+                        found.append((-d, len(t), t))
+            if found:
+                d, _, t = max(found)
+                window = words[max(0, k - 4) : k + 5]
+                marked = any(x <= a and y >= b and x >= window[0][1] - 1 and y <= window[-1][2] for x, y in quotes)
+                best = max(best, weights[t, -d, marked or any(x in reporting for x, _, _ in window)])
+        out[i] = 1 / (1 + math.exp(-(math.log(0.1 / 0.9) + best)))
+    return out
+
+
+def test_query_matches_a_slow_version(spark, sf_dir):
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("documents", "labels"))
+    terms, reporting, weights, none = toxicity.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    few = terms[:30]
+    slow = slow_scores({i: t for i, t in texts.items() if len(t or "") < 1500}, few, reporting, weights, none)
+    got = {r.doc_id: r.score for r in toxicity.predict(docs, (few, reporting, weights, none)).collect()}
+    assert slow and all(abs(got[i] - x) < 1e-9 for i, x in slow.items())
+    assert {r.doc_id: r.score for r in op2_toxicity(spark, sf_dir).collect()} == {r.doc_id: r.score for r in toxicity.predict(docs, (terms, reporting, weights, none)).collect()}
+
+
+def test_words_of_reporting_are_learned(spark, make_docs):
+    rows = [(k, f"filler {k} grumblar you") for k in range(60)] + [(100 + k, f"filler {k} dijeron grumblar") for k in range(40)]
+    train = make_docs(rows).selectExpr("doc_id", "lower(text) as text", "cast(doc_id < 60 as int) as toxic")
+    assert toxicity.learn_reporting(train, ["grumblar"]) == ["dijeron"]
