@@ -1,9 +1,9 @@
 """DuckDB SQL for the queries that SQL can express."""
 
 from braidwork.llm.licenses import PHRASES, TEMPLATES, need, template_table
-from braidwork.llm.quality import STOP_WORDS
+from braidwork.llm.quality import STOP_FORMS
 
-_STOPS = ", ".join(f"'{w}'" for w in sorted(set(STOP_WORDS)))
+_STOPS = ", ".join(f"'{w}'" for w in STOP_FORMS)
 
 _TEMPLATE_ROWS = ", ".join(
     f"({k}, '{label}', {tokens}, {need(len(tokens), 0.8)})" for k, label, tokens in template_table(TEMPLATES)
@@ -36,7 +36,7 @@ m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transf
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-       AND n_words <= 1000000 AND word_chars / n_words BETWEEN 2.0 AND 15.0 AND n_symbols / n_words <= 0.1
+       AND word_chars / n_words BETWEEN 2.0 AND 15.0 AND n_symbols / n_words <= 0.1
        AND n_shout / n_words <= 0.3 AND n_stop / n_words >= 0.02
        AND CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END <= 0.5
        AND n_repeat_words / n_words <= 0.5 AS kept

@@ -27,6 +27,10 @@ STOP_WORDS = (
 ).split()
 
 
+#: Stop words as they stand in prose, at the head of a sentence and in capitals.
+STOP_FORMS = sorted({form for w in STOP_WORDS for form in (w, w.capitalize(), w.upper())})
+
+
 @dataclass(frozen=True)
 class Rule:
     """``metric`` must lie in [low, high]; None leaves a side open."""
@@ -49,7 +53,7 @@ class Rule:
 
 #: The production table. Ratios are per word unless the name says otherwise.
 RULES = (
-    Rule("n_words", 50, 1_000_000),
+    Rule("n_words", 50, None),
     Rule("mean_word_chars", 2.0, 15.0),
     Rule("symbols_per_word", None, 0.1),
     Rule("shout_ratio", None, 0.3),
@@ -114,7 +118,7 @@ def quality_metrics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> Dat
             (F.length(text) - F.length(F.regexp_replace(text, "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
             (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
             F.size("_lines").cast("long").alias("n_lines"),
-            F.size(F.filter("_words", lambda w: w.isin(STOP_WORDS))).cast("long").alias("n_stop_words"),
+            F.size(F.filter("_words", lambda w: w.isin(STOP_FORMS))).cast("long").alias("n_stop_words"),
             (F.size(F.split(text, "!(?:[ \\t-\\r]|$)")) - 1).cast("long").alias("n_shout_words"),
             repeat_words(F.col("_words")).alias("n_repeat_words"),
         )
