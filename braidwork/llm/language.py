@@ -12,7 +12,9 @@ bounded sample: at most ``per_language`` rows of each language, drawn by a hash
 Defined results for unusual rows: a text that is null or has no letter is ``und`` with
 score 0; a null doc_id or lang is never trained on, and a row with a null id isn't held
 out; repeated rows are scored alike; an empty table, or one without labels, gives ``und``;
-other columns are ignored. Texts are read whole.
+other columns are ignored. Of centroids with one cosine the first by language and number is
+taken. The centroids are one set a language, gathered on the driver: their number grows with
+the distinct values of ``lang``, not with the rows. Texts are read whole.
 """
 
 from __future__ import annotations

@@ -43,6 +43,22 @@ def complete_runs(batches, target: int = 65536, limit: int = 65536):
         yield False, pa.Table.from_batches(held).combine_chunks()
 
 
+def unseen(most: int = 500_000):
+    """A test that is true for a text's name when a task meets it first. After ``most``
+    names it begins anew, which only lets some copies through again."""
+    names: set[int] = set()
+
+    def new(name: int) -> bool:
+        if name in names:
+            return False
+        if len(names) >= most:
+            names.clear()
+        names.add(name)
+        return True
+
+    return new
+
+
 def run_starts(*columns: np.ndarray) -> np.ndarray:
     """True where a row differs from the one before it in any of the columns."""
     out = np.zeros(len(columns[0]), dtype=bool)

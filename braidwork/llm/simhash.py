@@ -15,7 +15,8 @@ its smallest one-bit neighbour. That work is linear in the number of fingerprint
 Defined results for unusual rows: null or blank text has fingerprint zero and links like
 any other; a null doc_id gets its group's component and is never the smallest unless all
 are null; repeated rows give one row each; an empty table gives an empty result; other
-columns are ignored. Texts are read whole.
+columns are ignored. Texts are read whole. Components settle in a number of rounds that
+grows with the logarithm of the largest; after 60 rounds an error is raised.
 """
 
 from __future__ import annotations
@@ -182,11 +183,12 @@ def _hex(fp: Column) -> Column:
 
 def one_of_each(docs: DataFrame, **params) -> DataFrame:
     """The rows of ``docs``, one for each near-duplicate group: the smallest doc_id, and
-    among rows that share it the smallest text hash."""
-    marked = docs.withColumn("_hash", F.xxhash64("text"))
+    among rows that share it the smallest text hash. Columns of any names pass through."""
+    # The row is packed, so that its columns can't clash with those of the joins.
+    marked = docs.select(F.struct("*").alias("_row"), "doc_id", "text", F.xxhash64("text").alias("_hash"))
     groups = near_duplicates(marked, keep=("doc_id", "_hash"), **params)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("_id"), F.col("_hash").alias("_h")))
     # Groups without any doc_id have no component id of their own; they stay as they are.
     chosen = groups.groupBy(F.coalesce(F.col("component_id").cast("string"), F.col("fingerprint"))).agg(first.alias("f")).select("f._id", "f._h")
     kept = marked.join(chosen, marked["doc_id"].eqNullSafe(chosen["_id"]) & (marked["_hash"] == chosen["_h"]))
-    return kept.dropDuplicates(["_id", "_h"]).select(*docs.columns)
+    return kept.dropDuplicates(["_id", "_h"]).select("_row.*")

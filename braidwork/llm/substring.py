@@ -1,14 +1,16 @@
 """Substring dedup by level-wise doubling of repeated word windows.
 
-Windows of ``size`` words are judged through levels of half that length and less. At the
-first level every window is represented by an anchor, a ``seed``-word string that the
+Windows of ``size`` words are judged through levels of ``seed`` words, twice that, and so on
+(13, 26 and 50 for the defaults). At the first level every window is represented by an anchor, a ``seed``-word string that the
 window's own words choose (see grams), so equal windows have equal anchors and only one
 position in about ten has to be shuffled. Windows whose anchor stands in one text alone
 are done. The survivors are extended to twice the length, and again, until no candidates
 are left or the full length is judged; at the full length a window counts if the same
 words start in a document with a smaller doc_id.
 
-Copies of a whole text are one text with the smallest of their ids. An anchor with more
+Copies of a whole text are one text with the smallest of their ids: a task sends a text's
+anchors once, and the anchors of copies in other tasks fall together where they arrive. An
+anchor with more
 than ``run_limit`` occurrences is judged window by window in Spark instead of in a task.
 
 Defined results for unusual rows: null or blank text has no words; a null doc_id counts
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from braidwork.llm.common import count_words, materialise, words_of
 from braidwork.llm.grams import Rolling, anchors, signed
 from braidwork.llm.heads import distinct_texts, order_id, text_key, texts_with
-from braidwork.llm.runs import batch, complete_runs, run_starts
+from braidwork.llm.runs import batch, complete_runs, run_starts, unseen
 
 U = np.uint64
 
@@ -50,9 +52,12 @@ def _anchor_rows(size: int, seed: int, order: int):
     of further windows and the anchor's distance from the first start."""
 
     def run(batches):
+        new = unseen()
         for b in batches:
             keys, texts, places = [], [], []
             for t1, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                if not new(t1):
+                    continue
                 words = text.as_py().split()
                 if len(words) < size:
                     continue
@@ -108,12 +113,12 @@ def _extend(seed: int, length: int):
     return run
 
 
-def _match(last: bool):
+def _match(last: bool, run_limit: int):
     """Marks of candidate windows, from rows sorted by key. Kind 0: the windows of a place
     that also stand elsewhere, as bits. Kind 1: single windows of crowded keys."""
 
     def run(batches):
-        for crowded, t in complete_runs(batches, 32768, 32768):
+        for crowded, t in complete_runs(batches, run_limit, run_limit):
             key, order, t1, place, mask = (t.column(k).to_numpy() for k in range(5))
             lists = t.column(5).to_pylist()
             hashes = np.frombuffer(b"".join(lists), dtype=np.int64)
@@ -167,7 +172,7 @@ def _packed(marks: DataFrame) -> DataFrame:
     return marks.groupBy("t1").agg(F.collect_list(F.struct("place", "mask")).alias("places"))
 
 
-def substring_dedup(docs: DataFrame, size: int = 50, seed: int = 25, order: int = 12) -> DataFrame:
+def substring_dedup(docs: DataFrame, size: int = 50, seed: int = 13, order: int = 12, run_limit: int = 32768) -> DataFrame:
     """doc_id, n_words, n_removed and kept_sha256 for every row."""
     if not 1 <= size - seed < 62:
         raise ValueError("the seed must be shorter than the window by less than 62 words")
@@ -194,7 +199,7 @@ def substring_dedup(docs: DataFrame, size: int = 50, seed: int = 25, order: int
         rows = cands.mapInArrow(_extend(seed, length), "key long, ord long, t1 long, place long, mask long, hashes binary")
         found = materialise(
             rows.repartition("key").sortWithinPartitions("key").mapInArrow(
-                _match(last), "kind int, t1 long, place long, mask long, key long, hash long, ord long"
+                _match(last, run_limit), "kind int, t1 long, place long, mask long, key long, hash long, ord long"
             ),
             f"level-{length}",
         )

@@ -9,8 +9,9 @@ What is left, the edges of repeated passages, is sent with its bytes, and there
 suffix arrays of dictionary and parse are combined into corpus order (see parsing), in
 which repeated windows are neighbours.
 
-A text that occurs twice or more is wholly repeated; one copy stands for it, so copies
-never meet. A trigger with more than ``run_limit`` edge stretches is judged window by
+A text that occurs twice or more is wholly repeated; one copy stands for it: a task sends a
+text's stretches once, and the stretches of copies in other tasks fall together where they
+arrive. A trigger with more than ``run_limit`` edge stretches is judged window by
 window in Spark instead of in a task.
 
 Defined results for unusual rows: null text is empty; texts shorter than the window keep
@@ -31,7 +32,7 @@ from braidwork.llm.common import materialise
 from braidwork.llm.grams import BYTE_VALUES, Rolling, anchors, signed
 from braidwork.llm.heads import distinct_texts, order_id, text_key, texts_with
 from braidwork.llm.parsing import repeated
-from braidwork.llm.runs import batch, complete_runs, run_starts
+from braidwork.llm.runs import batch, complete_runs, run_starts, unseen
 
 U = np.uint64
 WHOLE, SENT = 1, 2  # bits of a stretch: repeated as it is; its bytes take part in the sort
@@ -42,11 +43,12 @@ def _stretches(size: int, reach: int, order: int):
     stretch is: first window start, number of further windows, trigger's distance."""
 
     def run(batches):
+        new = unseen()
         for b in batches:
             out = {"key": [], "whole": [], "t1": [], "place": []}
             for t1, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                 data = np.frombuffer(text.as_buffer(), dtype=np.uint8)
-                if len(data) < size:
+                if len(data) < size or not new(t1):
                     continue
                 roll = Rolling(BYTE_VALUES[data])
                 at, first, last = anchors(roll, len(data), size, reach, order)
@@ -113,12 +115,12 @@ def _states(cands) -> dict[int, int]:
 FOUND = "kind int, t1 long, place long, mask binary, h1 long, h2 long, start long, edge boolean"
 
 
-def _sort_contexts(size: int):
+def _sort_contexts(size: int, run_limit: int):
     """Kind 0: the repeated windows of an edge stretch, as bits. Kind 1: the windows of a
     crowded trigger, one by one."""
 
     def run(batches):
-        for crowded, t in complete_runs(batches, 2048, 4096):
+        for crowded, t in complete_runs(batches, min(2048, run_limit), run_limit):
             key, t1, place, state = (t.column(k).to_numpy() for k in range(4))
             fresh = np.flatnonzero(run_starts(key, t1, place))
             t1, place, state = t1[fresh], place[fresh], state[fresh]
@@ -185,7 +187,7 @@ def _removed(size: int):
     return run
 
 
-def _prepare(docs: DataFrame, size: int, reach: int, order: int) -> tuple[DataFrame, DataFrame]:
+def _prepare(docs: DataFrame, size: int, reach: int, order: int, run_limit: int) -> tuple[DataFrame, DataFrame]:
     """Distinct texts, and the kept bytes of those that lose some."""
     t1, t2 = text_key(F.col("text"))
     text = F.coalesce("text", F.lit(""))
@@ -198,7 +200,7 @@ def _prepare(docs: DataFrame, size: int, reach: int, order: int) -> tuple[DataFr
     places = states.groupBy("t1").agg(F.collect_list(F.struct("place", "state")).alias("places"))  # bounded by the text's length
     texts = materialise(texts_with(docs, groups, places), "candidates")
     contexts = texts.mapInArrow(_contexts(size, reach), "key long, t1 long, place long, state long, bytes binary")
-    found = materialise(contexts.repartition("key").sortWithinPartitions("key", "t1", "place").mapInArrow(_sort_contexts(size), FOUND), "windows")
+    found = materialise(contexts.repartition("key").sortWithinPartitions("key", "t1", "place").mapInArrow(_sort_contexts(size, run_limit), FOUND), "windows")
     masks = found.filter("kind = 0").groupBy("t1").agg(F.collect_list(F.struct("place", "mask")).alias("masks"))
     single = found.filter("kind = 1")
     spot = F.struct("t1", "start")
@@ -211,10 +213,10 @@ def _prepare(docs: DataFrame, size: int, reach: int, order: int) -> tuple[DataFr
     return groups, done
 
 
-def suffix_dedup(docs: DataFrame, size: int = 200, reach: int = 137, order: int = 16, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def suffix_dedup(docs: DataFrame, size: int = 200, reach: int = 137, order: int = 16, run_limit: int = 4096, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, n_bytes, n_removed, n_spans and kept_sha256 for every row."""
     _check(size, reach, order)
-    groups, done = _prepare(docs, size, reach, order)
+    groups, done = _prepare(docs, size, reach, order, run_limit)
     t1, t2 = text_key(F.col("text"))
     raw = F.coalesce("text", F.lit("")).cast("binary")
     heads = docs.select(*keep, t1.alias("t1"), t2.alias("t2"), F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("whole_sha256"))
@@ -234,19 +236,20 @@ def _check(size: int, reach: int, order: int) -> None:
         raise ValueError("a window must hold its trigger's bytes, and at most 256 starts may share a trigger")
 
 
-def without_repeats(docs: DataFrame, size: int = 200, reach: int = 137, order: int = 16) -> DataFrame:
+def without_repeats(docs: DataFrame, size: int = 200, reach: int = 137, order: int = 16, run_limit: int = 4096) -> DataFrame:
     """``docs`` with the kept bytes as text; rows left with no word go.
 
-    Cuts may split a character; its torn bytes become the replacement character.
+    Every occurrence of a repeat is cut, the first one too, as in ``suffix_dedup``: text that
+    stands in several documents is taken for boilerplate. Cuts may split a character; its
+    torn bytes become the replacement character. Columns of any names pass through.
     """
     _check(size, reach, order)
-    groups, done = _prepare(docs, size, reach, order)
+    groups, done = _prepare(docs, size, reach, order, run_limit)
     t1, t2 = text_key(F.col("text"))
-    result = groups.join(done.select("t1", "ord", "kept"), ["t1", "ord"], "left").select(
-        F.col("t1").alias("_t1"), F.col("t2").alias("_t2"), "copies", "kept"
-    )
-    whole = (F.col("copies") > 1) & (F.octet_length(F.coalesce("text", F.lit(""))) >= size)
-    text = F.when(whole, F.lit("")).otherwise(F.coalesce("kept", "text"))
-    joined = docs.join(result, (t1 == F.col("_t1")) & (t2 == F.col("_t2"))).withColumn("_kept", text)
-    out = joined.filter(F.col("_kept").rlike("[^ \\t-\\r]"))
-    return out.select(*[F.col("_kept").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    result = groups.join(done.select("t1", "ord", "kept"), ["t1", "ord"], "left").select("t1", "t2", "copies", "kept")
+    # The row is packed, so that its columns can't clash with those of the join.
+    packed = docs.select(F.struct("*").alias("row"), t1.alias("t1"), t2.alias("t2"))
+    whole = (F.col("copies") > 1) & (F.octet_length(F.coalesce("row.text", F.lit(""))) >= size)
+    text = F.when(whole, F.lit("")).otherwise(F.coalesce("kept", "row.text"))
+    out = packed.join(result, ["t1", "t2"]).select("row", text.alias("left_over")).filter(F.col("left_over").rlike("[^ \\t-\\r]"))
+    return out.select(*[F.col("left_over").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -42,3 +42,13 @@ def test_stages_against_brute_force(spark, sf_dir):
             mixed = frame
     assert frame.count() == mixed.count()
     assert frame.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_stages_keep_columns_of_any_name(spark, make_docs):
+    odd = ["copies", "kept", "_id", "_h", "_hash", "_t1", "_t2", "fp", "_row", "row", "left_over", "t1", "t2", "_words", "size"]
+    text = " ".join(f"word{k} the" for k in range(80))
+    docs = make_docs([(1, text), (2, text), (3, text.replace("word", "other")), (None, "short")]).selectExpr("*", *[f"'{c}' as `{c}`" for c in odd])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns, name
+        assert all(r[c] == c for r in out.collect() for c in odd), name
