@@ -12,7 +12,7 @@ twice the size are built, until the peeling ends.
 The fingerprint is a sketch whose size follows the number of digests, printed with that
 number, so equal texts have equal fingerprints. A wide sketch folds to a narrower one, since
 widths are powers of two: two fingerprints are folded to the narrower width and subtracted,
-and versions that differ by some tenth of their paragraphs are settled from the two printed
+and versions that differ by up to a tenth or so of their paragraphs are settled from the two printed
 strings alone (``compare``). The likeness of two versions is 1 - d / (a + b) for d
 recovered digests of a and b; two empty texts are alike.
 
@@ -39,6 +39,7 @@ from braidwork.llm.common import materialise
 from braidwork.llm.grams import mix
 
 U = np.uint64
+C = np.uint32
 TABLES = 3
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 # Within a long sentence: a space between letters that a third of the places or so have.
@@ -64,7 +65,7 @@ def digests(text: str | None) -> np.ndarray:
 
 
 def _checks(keys: np.ndarray) -> np.ndarray:
-    return mix(keys * U(0xD1B54A32D192ED03) + U(0x632BE59BD9B4E019))
+    return (mix(keys * U(0xD1B54A32D192ED03) + U(0x632BE59BD9B4E019)) >> U(32)).astype(C)
 
 
 def _cells(keys: np.ndarray, width: np.ndarray) -> list[np.ndarray]:
@@ -82,16 +83,16 @@ class Sketches:
         total = int(size.sum())
         self.count = np.zeros(total, dtype=np.int64)
         self.keys = np.zeros(total, dtype=U)
-        self.checks = np.zeros(total, dtype=U)
+        self.checks = np.zeros(total, dtype=C)
 
     def add(self, keys: np.ndarray, owner: np.ndarray, sign: np.ndarray) -> None:
-        """Adds (sign 1) or takes out (sign -1) digests; sums are modulo 2**64."""
+        """Adds (sign 1) or takes out (sign -1) digests; the sums wrap around."""
         checks, signed = _checks(keys), sign.astype(np.int64).astype(U)
         for cell in _cells(keys, self.width[owner].astype(U)):
             at = self.offset[owner] + cell
             np.add.at(self.count, at, sign)
             np.add.at(self.keys, at, keys * signed)
-            np.add.at(self.checks, at, checks * signed)
+            np.add.at(self.checks, at, checks * signed.astype(C))
 
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(digest, owner, sign) read from the cells, and whether each document is done."""
@@ -101,7 +102,7 @@ class Sketches:
             one = np.flatnonzero(np.abs(self.count) == 1)
             sign = self.count[one]
             keys = self.keys[one] * sign.astype(U)
-            good = self.checks[one] * sign.astype(U) == _checks(keys)
+            good = self.checks[one] * sign.astype(C) == _checks(keys)
             keys, sign, owner = keys[good], sign[good], owner_of[one[good]]
             if not len(keys):
                 break
@@ -121,9 +122,9 @@ class Sketches:
 
 def widths(sizes) -> np.ndarray:
     """Cells a table of the fingerprint for each number of digests: a power of two, at
-    least 4, and 3/16 to 3/8 of the digests in all three tables beyond that."""
+    least 4, and 3/32 to 3/16 of the digests in all three tables beyond that."""
     n = np.maximum(np.asarray(sizes, dtype=np.int64), 1)
-    return 4 << np.maximum(0, np.ceil(np.log2(n / 64)).astype(np.int64))
+    return 4 << np.maximum(0, np.ceil(np.log2(n / 128)).astype(np.int64))
 
 
 def sketch(sets: list[np.ndarray], width: np.ndarray, sign: int = 1) -> Sketches:
@@ -146,7 +147,7 @@ def subtract(a: Sketches, b: Sketches) -> Sketches:
         at = out.offset[owner] + table * out.width[owner] + place % out.width[owner]
         np.add.at(out.count, at, sign * s.count)
         np.add.at(out.keys, at, s.keys * U(sign & 0xFFFFFFFFFFFFFFFF))
-        np.add.at(out.checks, at, s.checks * U(sign & 0xFFFFFFFFFFFFFFFF))
+        np.add.at(out.checks, at, s.checks * C(sign & 0xFFFFFFFF))
     return out
 
 
@@ -187,7 +188,7 @@ def printed(s: Sketches, sizes: list[int]) -> list[str]:
     out = []
     for k, size in enumerate(sizes):
         cells = slice(s.offset[k], s.offset[k] + TABLES * s.width[k])
-        raw = s.count[cells].astype("<i4").tobytes() + s.keys[cells].astype("<u8").tobytes() + s.checks[cells].astype("<u8").tobytes()
+        raw = s.count[cells].astype("<i2").tobytes() + s.keys[cells].astype("<u8").tobytes() + s.checks[cells].astype("<u4").tobytes()
         out.append(f"{size}:{s.width[k]}:{base64.b64encode(raw).decode()}")
     return out
 
@@ -199,9 +200,9 @@ def parsed(fingerprints: list[str]) -> tuple[Sketches, list[int]]:
     for k, (_, width, cells) in enumerate(fields):
         n, raw = TABLES * int(width), base64.b64decode(cells)
         at = slice(out.offset[k], out.offset[k] + n)
-        out.count[at] = np.frombuffer(raw, "<i4", n)
-        out.keys[at] = np.frombuffer(raw, "<u8", n, 4 * n)
-        out.checks[at] = np.frombuffer(raw, "<u8", n, 12 * n)
+        out.count[at] = np.frombuffer(raw, "<i2", n)
+        out.keys[at] = np.frombuffer(raw, "<u8", n, 2 * n)
+        out.checks[at] = np.frombuffer(raw, "<u4", n, 10 * n)
     return out, [int(f[0]) for f in fields]
 
 
