@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from braidwork import record_queries
 from braidwork.functions import text as fx
 from braidwork.operators import audit, bind, flatten, fold, match, omics, reshape
 from braidwork.plans.schema import Binding, Graph
@@ -431,3 +432,6 @@ JOIN orders ON o_orderkey = l_orderkey WHERE lower(p_name) LIKE '%gear%' AND l_q
     "classify_threshold": """WITH v AS (SELECT CASE WHEN d <= 0.02 THEN 'hypomethylated' WHEN d >= 0.08 THEN 'hypermethylated' ELSE 'intermediate' END AS s FROM (SELECT printf('%.2f', l_discount)::DOUBLE AS d FROM lineitem))
 SELECT s AS "methylationStatus", count(*)::BIGINT AS n_rows FROM v GROUP BY s UNION ALL SELECT 'linked to rule1', count(*)::BIGINT FROM v""",
 }
+
+QUERIES |= record_queries.QUERIES
+SQL |= record_queries.SQL
