@@ -152,10 +152,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFra
     return docs.select("doc_id", F.lower(F.coalesce("text", F.lit(""))).alias("text")).join(F.broadcast(ids), "doc_id")
 
 
-def least_rows(n_these: int, n_others: int, chance: float = 1e-7) -> int:
-    """Rows of one kind that a word must stand in: so many that a word of no meaning would
-    be in rows of that kind alone only by the given chance."""
-    return max(5, math.ceil(math.log(chance) / math.log(n_these / (n_these + n_others))))
+def least_rows(n_these: int, n_others: int, share: float = 0.02, chance: float = 1e-7) -> int:
+    """Rows of one kind that a word must stand in: a share of them, and so many that a word
+    of no meaning would be in rows of that kind alone only by the given chance."""
+    return max(5, math.ceil(share * n_these), math.ceil(math.log(chance) / math.log(n_these / (n_these + n_others))))
 
 
 def learn_terms(train: DataFrame, shortest: int = 4, longest: int = 12, purity: float = 0.95) -> list[str]:
