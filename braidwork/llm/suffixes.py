@@ -22,6 +22,7 @@ they share; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -87,29 +88,41 @@ def _contexts(size: int, reach: int):
     def run(batches):
         for b in batches:
             out = {"key": [], "t1": [], "place": [], "state": [], "bytes": []}
-            for t1, text, cands in zip(b.column(0).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
-                sent = _states(cands)
-                sent = {p: s for p, s in sent.items() if s & SENT}
-                if not sent:
+            for t1, text, (place, state) in zip(b.column(0).to_pylist(), b.column(2), _states(b.column(3)), strict=True):
+                sent = (state & SENT) > 0
+                if not sent.any():
                     continue
-                raw = text.as_py()
-                place = np.fromiter(sent, dtype=np.int64)
+                place, raw = place[sent], text.as_py()
                 roll = Rolling(BYTE_VALUES[np.frombuffer(raw, dtype=np.uint8)])
-                out["key"] += signed(roll.spans((place >> 16) + (place & 255), size - reach + 1)).tolist()
-                out["t1"] += [t1] * len(place)
-                out["place"] += place.tolist()
-                out["state"] += sent.values()
-                out["bytes"] += [raw[p >> 16 : (p >> 16) + (p >> 8 & 255) + size] for p in sent]
-            yield batch(**{n: pa.array(v, pa.binary() if n == "bytes" else pa.int64()) for n, v in out.items()})
+                out["key"].append(signed(roll.spans((place >> 16) + (place & 255), size - reach + 1)))
+                out["t1"].append(np.full(len(place), t1, dtype=np.int64))
+                out["place"].append(place)
+                out["state"].append(state[sent])
+                out["bytes"] += [raw[p >> 16 : (p >> 16) + (p >> 8 & 255) + size] for p in place.tolist()]
+            if out["bytes"]:
+                data = pa.array(out.pop("bytes"), pa.binary())
+                yield batch(**{n: np.concatenate(v) for n, v in out.items()}, bytes=data)
 
     return run
 
 
-def _states(cands) -> dict[int, int]:
-    out: dict[int, int] = {}
-    for c in cands or ():
-        out[c["place"]] = out.get(c["place"], 0) | c["state"]
-    return out
+def _slices(column: pa.ListArray, *values: np.ndarray):
+    """Of each row of a list column: its part of each of the flat ``values``."""
+    cut = column.offsets.to_pylist()
+    for a, b in pairwise(cut):
+        yield tuple(v[a:b] for v in values)
+
+
+def _states(column: pa.ListArray):
+    """Of each row: its distinct places, and all bits that each was given."""
+    flat = column.values
+    for place, state in _slices(column, flat.field("place").to_numpy(), flat.field("state").to_numpy()):
+        if len(place):
+            by = np.argsort(place, kind="stable")
+            place, state = place[by], state[by]
+            starts = np.flatnonzero(run_starts(place))
+            place, state = place[starts], np.bitwise_or.reduceat(state, starts)
+        yield place, state
 
 
 FOUND = "kind int, t1 long, place long, mask binary, h1 long, h2 long, start long, edge boolean"
@@ -160,20 +173,21 @@ def _removed(size: int):
     def run(batches):
         for b in batches:
             rows = [[], [], []]
-            for text, cands, masks, single in zip(b.column(2), *(b.column(k).to_pylist() for k in (3, 4, 5)), strict=True):
+            marks = b.column(4).values
+            lists = _slices(b.column(4), marks.field("place").to_numpy(), marks.field("mask")), _slices(b.column(5), b.column(5).values.to_numpy())
+            for text, (place, state), (at, masks), (single,) in zip(b.column(2), _states(b.column(3)), *lists, strict=True):
                 data = np.frombuffer(text.as_buffer(), dtype=np.uint8)
                 edge = np.zeros(len(data) + 1, dtype=np.int64)
-                for p, s in _states(cands).items():
-                    if s & WHOLE:
-                        edge[p >> 16] += 1
-                        edge[(p >> 16) + (p >> 8 & 255) + size] -= 1
-                for m in masks or ():
-                    starts = (m["place"] >> 16) + np.flatnonzero(np.unpackbits(np.frombuffer(m["mask"], dtype=np.uint8), bitorder="little"))
+                whole = place[(state & WHOLE) > 0]
+                np.add.at(edge, whole >> 16, 1)
+                np.add.at(edge, (whole >> 16) + (whole >> 8 & 255) + size, -1)
+                for p, m in zip(at.tolist(), masks, strict=True):
+                    bits = np.frombuffer(m.as_buffer(), dtype=np.uint8)
+                    starts = (p >> 16) + np.flatnonzero(np.unpackbits(bits, bitorder="little"))
                     np.add.at(edge, starts, 1)
                     np.add.at(edge, starts + size, -1)
-                for start in single or ():
-                    edge[start] += 1
-                    edge[start + size] -= 1
+                np.add.at(edge, single, 1)
+                np.add.at(edge, single + size, -1)
                 gone = np.cumsum(edge)[:-1] > 0
                 rows[0].append(int(gone.sum()))
                 rows[1].append(int((gone[1:] & ~gone[:-1]).sum()) + int(len(gone) > 0 and gone[0]))
