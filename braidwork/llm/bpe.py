@@ -319,15 +319,10 @@ class TextEncoder:
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
-_encoders: dict[str, TextEncoder] = {}
-
-
 def _encoder(path: str, tables) -> TextEncoder:
-    """One encoder a worker; a vocabulary file sent with the job is found by its name."""
-    if path not in _encoders:
-        here = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
-        _encoders[path] = TextEncoder(here, tables=tables)
-    return _encoders[path]
+    """A task's own encoder, so that a worker that goes on to other work keeps none of it; a
+    vocabulary file sent with the job is found by its name."""
+    return TextEncoder(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)), tables=tables)
 
 
 def bpe_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
@@ -339,8 +334,9 @@ def bpe_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     tables = character_tables()
 
     def run(batches):
+        encoder = _encoder(vocabulary, tables)
         for b in batches:
-            rows = list(_encoder(vocabulary, tables).rows(b.column(1).to_pylist()))
+            rows = list(encoder.rows(b.column(1).to_pylist()))
             n, ids, decoded = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
@@ -357,8 +353,8 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     tables = character_tables()
 
     def run(batches):
+        e = _encoder(vocabulary, tables)
         for b in batches:
-            e = _encoder(vocabulary, tables)
             out = []
             for t in b.column(1).to_pylist():
                 ids: list[int] = []
@@ -375,8 +371,8 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     tables = character_tables()
 
     def run(batches):
+        names = _encoder(vocabulary, tables).encoder.names
         for b in batches:
-            names = _encoder(vocabulary, tables).encoder.names
             out = [" ".join([names[i] for i in ids or ()]) for ids in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["doc_id", "text"])
 
