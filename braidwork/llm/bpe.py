@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END = "</w>"
-SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+SHORT = "'(?:s|t|re|ve|m|ll|d)"
 
 
 @lru_cache
@@ -64,24 +64,43 @@ def character_tables() -> tuple[str, str, str, dict[str, str]]:
 
 
 class WordSplitter:
-    """Composes, lower-cases and splits text into words."""
+    """Composes, lower-cases and splits text into words.
+
+    ASCII text, text below U+10000 and any text have a pattern each: classes without wide
+    characters are read in one step, those with them range by range.
+    """
 
     def __init__(self, tables):
         letters, numbers, spaces, lower = tables
-        self.words = re.compile(f"{SHORT}|[{letters}]+|[{numbers}]|[^{spaces}{letters}{numbers}]+")
         self.lower = {ord(c): x for c, x in lower.items()}
         # Where this Python lower-cases otherwise, or by context, the table is used.
         other = [c for c in map(chr, (*range(0xD800), *range(0xE000, 0x40000))) if c.lower() != lower.get(c, c) or c == "\u03a3"]
-        self.other = re.compile("[" + "".join(f"\\U{ord(c):08x}" for c in other) + "]")
+        classes = letters, numbers, spaces, "".join(f"\\U{ord(c):08x}-\\U{ord(c):08x}" for c in other)
+        self.plain, _ = self._patterns(classes, 0x80)
+        self.narrow, self.wide = self._patterns(classes, 0x10000), self._patterns(classes, 0x110000)
+        self.composing = re.compile("[^\\x00-\u02ff]")  # below stands nothing that composes
+        self.beyond = re.compile("[^\\x00-\uffff]")
+
+    @staticmethod
+    def _patterns(classes, limit: int) -> tuple[re.Pattern, re.Pattern]:
+        """Of text whose characters are below ``limit``: its words, and what needs the table."""
+
+        def below(inside: str) -> str:
+            runs = [(int(a, 16), int(b, 16)) for a, b in re.findall(r"\\U(.{8})-\\U(.{8})", inside)]
+            return "".join(f"\\U{a:08x}-\\U{min(b, limit - 1):08x}" for a, b in runs if a < limit)
+
+        letters, numbers, spaces, other = map(below, classes)
+        return re.compile(f"[{letters}]+|[{numbers}]|{SHORT}|[^{spaces}{letters}{numbers}]+"), re.compile(f"[{other}]" if other else "(?!)")
 
     def split(self, text: str) -> list[str]:
         if text.isascii():
-            return self.words.findall(text.lower())
-        if max(text) >= "\u0300":  # below stands nothing that composes
+            return self.plain.findall(text.lower())
+        if self.composing.search(text):
             from tokenizers.normalizers import NFC
 
             text = NFC().normalize_str(text)
-        return self.words.findall(text.translate(self.lower) if self.other.search(text) else text.lower())
+        words, other = self.wide if self.beyond.search(text) else self.narrow
+        return words.findall(text.translate(self.lower) if other.search(text) else text.lower())
 
 
 def byte_alphabet() -> list[str]:
