@@ -17,6 +17,13 @@ def _words(text: str) -> str:
     return f"list_filter(string_split_regex({_LOWER.format(text)}, '{_NOT_WORD}'), lambda x: x <> '')"
 
 
+_NOT_TERM = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(text: str) -> str:
+    return f"list_filter(string_split_regex({_LOWER.format(text)}, '{_NOT_TERM}'), lambda x: x <> '')"
+
+
 SQL = {
     "op3_quality_rules": rf"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
@@ -59,4 +66,15 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_ba
        coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base.ls, []), coalesce(best.ls, [])))), ','), '') AS labels,
        CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(best.c, 0.0)::DOUBLE END AS score, coalesce(best.n, 0)::BIGINT AS n_blocks
 FROM w LEFT JOIN base USING (r) LEFT JOIN best USING (r)""",
+    "op11_ranking": f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("coalesce(text, '')")} AS ts FROM documents),
+total AS (SELECT count(*) FILTER (len(ts) > 0) AS n, sum(len(ts))::BIGINT AS l FROM d),
+tf AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) GROUP BY r, t),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(n) + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY t),
+m AS (SELECT r, doc_id, 10 + (90 * len(ts) * n) // l AS m FROM d, total WHERE len(ts) > 0),
+item AS (SELECT q, item_id, unnest(ts) AS t FROM (SELECT row_number() OVER () AS q, item_id, list_distinct({_terms("coalesce(text, '')")}) AS ts FROM benchmark)),
+s AS (SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM item JOIN w USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY q, item_id, r, doc_id)
+SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST))::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10""",
 }

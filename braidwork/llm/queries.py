@@ -72,8 +72,26 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(read_table(spark, sf_dir))
 
 
+def op11_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.ranking import rank_documents
+
+    return rank_documents(read_table(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.secret_scan import secret_scan
+
+    return secret_scan(read_table(spark, sf_dir))
+
+
+QUERIES = (
+    op1_fingerprints, op2_toxicity, op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses,
+    op10_language, op11_ranking, op12_secrets,
+)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_fingerprints, op2_toxicity, op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses, op10_language)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
