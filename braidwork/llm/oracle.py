@@ -24,6 +24,43 @@ def _terms(text: str) -> str:
     return f"list_filter(string_split_regex({_LOWER.format(text)}, '{_NOT_TERM}'), lambda x: x <> '')"
 
 
+def _best(*ways: str) -> str:
+    """The least of structs (cost, audit, text) that aren't null."""
+    return f"list_sort(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))[1]"
+
+
+def _way(state: str, cost: str, letter: str, row: str, where: str = "TRUE") -> str:
+    """A state with a letter more; ``row`` is what it adds to the repaired text."""
+    return f"CASE WHEN {state} IS NOT NULL AND {where} THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {row}}} END"
+
+
+def _insert(state: str, *roles: str) -> str:
+    return _way(state, str(2 * len(roles)), "I" * len(roles), " || ".join(f"chr(10) || '{r}:'" for r in roles))
+
+
+# States 0 to 3: nothing, a system row, a user's, an assistant's.
+_INSERTED = (
+    f"s0 AS p0, s1 AS p1, {_best('s2', *[_insert(s, 'user') for s in ('s0', 's1', 's3')])} AS p2, "
+    f"{_best('s3', _insert('s2', 'assistant'), *[_insert(s, 'user', 'assistant') for s in ('s0', 's1')])} AS p3"
+)
+
+
+def _taken(state: int) -> str:
+    """What a row makes of the states before it."""
+    role, froms = {0: ("", ()), 1: ("", (0,)), 2: ("user", (0, 1, 3)), 3: ("assistant", (2,))}[state]
+    ways = [_way(f"p{state}", "3", "D", "''")]
+    for p in froms:
+        ways.append(_way(f"p{p}", "late", "K", "chr(10) || role || ':' || text", f"NOT gone AND initial = '{' sua'[state]}'"))
+        if role:
+            ways.append(_way(f"p{p}", "2 + late", "R", f"chr(10) || '{role}:' || text", "NOT gone"))
+    return _best(*ways)
+
+
+_STATE = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR)"
+_FATE = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+ lambda x: [ord(x)::BIGINT, 256, 256, 256, 256, 256, 256, 256, 256]))), lambda c, x: CASE WHEN x < 256 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295::BIGINT) % 20"""
+
+
 SQL = {
     "op3_quality_rules": rf"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
@@ -77,4 +114,25 @@ s AS (SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8
       FROM item JOIN w USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY q, item_id, r, doc_id)
 SELECT item_id, (row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id ASC NULLS LAST))::INTEGER AS rank, doc_id, score
 FROM s WHERE score > 0 QUALIFY rank <= 10""",
+    "op13_conversations": f"""
+WITH RECURSIVE fates AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_FATE} AS fate FROM conversations),
+rows AS (SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+                CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE fate WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS k FROM fates),
+conv AS (SELECT conv_id, row_number() OVER () AS q FROM (SELECT DISTINCT conv_id FROM conversations)),
+placed AS (SELECT q, turn, role, text, left(role, 1) AS initial, rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS solid,
+                  row_number() OVER (PARTITION BY q, role, text ORDER BY turn NULLS FIRST, k) AS nth, row_number() OVER (PARTITION BY q ORDER BY turn NULLS FIRST, role, text, k) AS i
+           FROM rows JOIN conv ON rows.conv_id IS NOT DISTINCT FROM conv.conv_id),
+judged AS (SELECT *, CASE WHEN solid = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN right(solid, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                  lag(initial) OVER (PARTITION BY q ORDER BY i) AS before FROM placed),
+word AS (SELECT q, i, role, text, initial, fault IN ('blank', 'duplicate') AS gone, (fault = 'truncated')::BIGINT AS late FROM judged),
+step AS (SELECT q, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': ''}}::{_STATE} AS s0, NULL::{_STATE} AS s1, NULL::{_STATE} AS s2, NULL::{_STATE} AS s3 FROM conv
+         UNION ALL
+         SELECT q, i, {_taken(0)}, {_taken(1)}, {_taken(2)}, {_taken(3)}
+         FROM (SELECT q, word.i, role, text, initial, gone, late, {_INSERTED} FROM step JOIN word USING (q) WHERE word.i = step.i + 1)),
+ends AS (SELECT q, {_best('p0', 'p3')} AS e FROM (SELECT q, {_INSERTED} FROM step QUALIFY i = max(i) OVER (PARTITION BY q))),
+n AS (SELECT q, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+             count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY q)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       e.c AS cost, e.a AS audit, sha256(substr(e.t, 2)) AS repaired_sha256
+FROM conv JOIN ends USING (q) LEFT JOIN n USING (q)""",
 }

@@ -84,9 +84,15 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(read_table(spark, sf_dir))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from braidwork.llm.conversations import damaged, repair_audits
+
+    return repair_audits(damaged(read_table(spark, sf_dir, "conversations")))
+
+
 QUERIES = (
     op1_fingerprints, op2_toxicity, op3_quality_rules, op4_bpe, op5_substring, op6_suffixes, op7_simhash, op8_mixing, op9_licenses,
-    op10_language, op11_ranking, op12_secrets,
+    op10_language, op11_ranking, op12_secrets, op13_conversations,
 )
 
 
