@@ -182,11 +182,12 @@ def labelled_samples(docs: DataFrame, per_label: int, least_length: int) -> Data
     return _texts(docs).mapInArrow(run, SAMPLE)
 
 
-def fit(docs: DataFrame, per_label: int = 5000, least_length: int = 16) -> Models:
+def fit(docs: DataFrame, per_label: int = 5000, least_length: int = 16, parts: int = 16) -> Models:
     """The models of the bounded samples."""
     # Of the tasks' samples the label 1 wins, so a value has one label.
     sample = labelled_samples(docs, per_label, least_length).groupBy("value").agg(F.max("label").alias("label"), F.first("hash").alias("hash"))
-    sample = sample.persist()
+    # Each part sends its least values to the driver, so there are few parts.
+    sample = sample.coalesce(parts).persist()
     take = lambda label: [r["value"].encode() for r in sample.filter(F.col("label") == label).orderBy("hash", "value").limit(per_label).collect()]
     out = Models(take(1), take(0))
     sample.unpersist()
