@@ -216,3 +216,9 @@ def summary(spark: SparkSession, nodes: dict[str, DataFrame], edges: dict[str, D
     counts = _union([df.agg(F.count("*").alias("n_rows")).select(F.lit(k).alias("kind"), F.lit(n).alias("name"), "n_rows") for k, t in (("node", nodes), ("edge", edges)) for n, df in t.items()])
     out = spark.createDataFrame(status, "kind string, name string, status string, reason string")
     return out.withColumn("n_rows", F.lit(0).cast("long")) if counts is None else out.join(counts, ["kind", "name"], "left").na.fill(0, ["n_rows"])
+
+
+def counted_summary(spark: SparkSession, counts: dict[tuple[str, str], int], status) -> DataFrame:
+    """As ``summary``, from counts that a write has gathered."""
+    rows = [(kind, name, state, why, counts.get((kind, name), 0)) for kind, name, state, why in status]
+    return spark.createDataFrame(rows, "kind string, name string, status string, reason string, n_rows long")

@@ -13,8 +13,9 @@ from braidwork.sources.writers import declared_subtypes
 EDGE_KEY = ["startLabel", "startId", "endLabel", "endId"]
 
 
-def _fold(existing: DataFrame | None, batch: DataFrame, keys: list[str], order: str | None) -> DataFrame:
+def fold_rows(existing: DataFrame | None, batch: DataFrame, keys: list[str], order: str | None = None, deal: list[str] | None = None) -> DataFrame:
     """Per key and property the last non-empty value; the batch comes after what exists.
+    ``deal``: keys by which alone the rows are dealt, for a writer that needs them so.
 
     ``order`` is a column of the batch that says which of its rows is later. Values that
     share a place, or have none because no order was given, are settled by the greatest, so
@@ -32,16 +33,17 @@ def _fold(existing: DataFrame | None, batch: DataFrame, keys: list[str], order:
     rows = part(batch, 1, at)
     if existing is not None:
         rows = part(existing, 0, F.lit(None).cast(kind)).unionByName(rows)
+    rows = rows.repartition(*deal) if deal else rows
     last = lambda p: F.max_by(quoted(p), F.when(blank(quoted(p)) != "", F.struct("_part", "_at", quoted(p)))).alias(p)
     return rows.groupBy(*keys).agg(*[last(p) for p in props]) if props else rows.select(*keys).distinct()
 
 
 def upsert_nodes(existing: DataFrame | None, batch: DataFrame, key: str, order: str | None = None) -> DataFrame:
     """One row for each id: empty values never overwrite, later ones win."""
-    return _fold(existing, batch.filter(blank(F.col(key)) != ""), [key], order)
+    return fold_rows(existing, batch.filter(blank(F.col(key)) != ""), [key], order)
 
 
-def _ends(edges: DataFrame) -> DataFrame:
+def edge_ends(edges: DataFrame) -> DataFrame:
     """The distinct (label, id) that edges name, blank ids included. They are reduced
     before the shuffle, so a popular end is sent once a task."""
     end = lambda side: F.struct(F.col(f"{side}Label").alias("label"), F.col(f"{side}Id").alias("id"))
@@ -54,7 +56,7 @@ def _marked(batch: DataFrame, ids: DataFrame) -> DataFrame:
     Edges aren't joined with all ids but with the ends that turn out unknown; where those
     are few, Spark broadcasts them and the edges aren't shuffled for it at all.
     """
-    unknown = _ends(batch).join(ids, ["label", "id"], "left_anti").withColumn("_no", F.lit(True))
+    unknown = edge_ends(batch).join(ids, ["label", "id"], "left_anti").withColumn("_no", F.lit(True))
     out = batch
     for side in ("start", "end"):
         named = unknown.select(F.col("label").alias(f"_{side}_label"), F.col("id").alias(f"_{side}_id"), F.col("_no").alias(f"_{side}_no"))
@@ -67,7 +69,7 @@ def upsert_edges(existing: DataFrame | None, batch: DataFrame, ids: DataFrame, o
     """The folded edges and the edges that were dropped because an end is blank or
     unknown. ``ids`` has the distinct (label, id) of the graph."""
     marked = _marked(batch, ids)
-    return _fold(existing, marked.filter("not _lost").drop("_lost"), EDGE_KEY, order), marked.filter("_lost").drop("_lost")
+    return fold_rows(existing, marked.filter("not _lost").drop("_lost"), EDGE_KEY, order), marked.filter("_lost").drop("_lost")
 
 
 def dropped_edges(batch: DataFrame, ids: DataFrame) -> DataFrame:

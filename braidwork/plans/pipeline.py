@@ -45,10 +45,8 @@ def standardise_dataset(spark: SparkSession, graph: Graph, profile: Profile, dat
     id is the first by source, file and place in the file."""
     steps = reshape_dataset(spark, graph, profile, dataset, raw, interim)
     nodes, edges, status = bind.standardise(spark, graph, profile, lambda name: resolve_source(spark, name, interim, raw, ordered=True), order)
-    write_graph(nodes, edges, out)
-    status = [("reshape", name, state, why) for name, state, why in steps] + status
-    nodes, edges, _ = read_graph(spark, out, graph)
-    return bind.summary(spark, nodes, edges, status)
+    counts = write_graph(nodes, edges, out)
+    return bind.counted_summary(spark, counts, [("reshape", name, state, why) for name, state, why in steps] + status)
 
 
 def validate_dataset(spark: SparkSession, graph: Graph, folder: str, references: tuple[str, ...] = (), strict: bool = False) -> DataFrame:

@@ -350,8 +350,8 @@ SELECT sample || ':7:' || l_orderkey || ':A:T' AS variant_observation_id, sample
     "file_metadata": f"SELECT 'f' || s_suppkey AS file_id, 'n' || s_suppkey AS file_name, {_SAMPLE.format('s_suppkey')} AS sample_id, {_PLATFORM.format('s_suppkey')} || ':RNA-Seq:STAR' AS assay_id, 'STAR' AS pipeline_version FROM supplier",
     "manifest_audit": """SELECT CASE WHEN doc_id % 11 = 0 THEN 'missing' WHEN doc_id % 5 = 0 THEN 'size mismatch' WHEN doc_id % 7 = 0 THEN 'md5 mismatch' ELSE 'ok' END AS status, count(*)::BIGINT AS n_rows FROM documents GROUP BY 1""",
     "bulk_part_nodes": """SELECT p_partkey::VARCHAR AS "partId:ID(Part)", p_name AS name, p_size::VARCHAR AS "size:int", CASE WHEN p_brand IN ('Brand#11', 'Brand#22') THEN 'Part;' || p_brand ELSE 'Part' END AS ":LABEL" FROM part WHERE p_partkey % 9 > 0""",
-    "bulk_manifest": """SELECT 'one' AS dataset, 'node' AS kind, 'Order' AS name, 'one/nodes/Order' AS path, count(*)::BIGINT AS n_rows FROM orders UNION ALL SELECT 'one', 'edge', 'PLACED', 'one/edges/PLACED', count(*) FROM orders
-UNION ALL SELECT 'one', 'node', 'Part', 'one/nodes/Part', count(*) FROM part UNION ALL SELECT 'two', 'node', 'Part', 'two/nodes/Part', count(*) FROM part""",
+    "bulk_manifest": """SELECT 'one' AS dataset, 'node' AS kind, 'Order' AS name, 'one/nodes/Order' AS path, count(*)::BIGINT AS n_rows FROM orders UNION ALL SELECT 'one', 'edge', 'PLACED', 'one/edges/PLACED/startLabel=Customer/endLabel=Order', count(*) FROM orders
+UNION ALL SELECT 'one', 'node', 'Part', 'one/nodes/Part', count(*) FROM part WHERE p_partkey % 9 > 0 UNION ALL SELECT 'two', 'node', 'Part', 'two/nodes/Part', count(*) FROM part WHERE p_partkey % 9 > 0""",
     "endpoint_preflight": "SELECT label FROM (VALUES ('Customer'), ('Part')) v(label) WHERE EXISTS (SELECT 1 FROM orders)",
     "audit_undeclared": """SELECT 'Ship' AS "table", '' AS key, 'label not declared' AS kind, 1::BIGINT AS n UNION ALL SELECT 'Part', 'partId', 'id column missing', 1 UNION ALL SELECT 'SAILS', '', 'edge type not declared', 1
 UNION ALL SELECT t, 'startId', 'label not loaded', (SELECT count(*) FROM orders) FROM (VALUES ('PLACED'), ('SAILS')) v(t)""",
