@@ -29,13 +29,14 @@ def reshape_dataset(spark: SparkSession, graph: Graph, profile: Profile, dataset
     for spec in profile.reshape:
         main = spec.get("output") or f"{spec.get('observation', 'variation')}_observation.tsv"
         rows, second, why = reshape.reshape(spark, spec, raw, known, dataset)
-        if rows is None:
+        skipped = rows is None
+        if skipped:
             rows = spark.createDataFrame([], "sample_id string")
         rows.write.mode("overwrite").parquet(f"{interim}/{main}.parquet")
         if spec["type"] == "vcf" and spec.get("gene_edge_output"):
             genes = second if second is not None else spark.createDataFrame([], "variant_id string, gene_id string")
             genes.write.mode("overwrite").parquet(f"{interim}/{spec['gene_edge_output']}.parquet")
-        out.append((spec["input"], "skipped" if why else "reshaped", why))
+        out.append((spec["input"], "skipped" if skipped else "reshaped", why))
     return out
 
 

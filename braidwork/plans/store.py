@@ -76,8 +76,6 @@ def _fold_in(spark: SparkSession, store: str, layout: Layout, kind: str, name: s
         if not touched:
             return 0, 0
         old = _stored(spark, store, layout, kind, name, touched)
-        if layout.widen(kind, name, [c for c in batch.columns if c != BUCKET]):
-            layout.write(spark, store)
         out = fold.fold_rows(old, batch, [BUCKET, *keys], deal=[BUCKET])
         write = lambda df: df.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(_path(store, kind, name))
         return counted(out, write)["n"], len(touched)
@@ -119,6 +117,9 @@ def fold_batch(spark: SparkSession, graph: Graph, store: str, nodes: dict[str, D
     Tables that the graph doesn't declare are left out."""
     layout, report = Layout.read(spark, store), []
     own_order = lambda df: order if order and order in df.columns else None
+    tables = [("nodes", n, df) for n, df in nodes.items() if n in graph.nodes] + [("edges", n, df) for n, df in edges.items() if n in graph.edges]
+    if any([layout.widen(kind, name, [c for c in df.columns if c != own_order(df)]) for kind, name, df in tables]):
+        layout.write(spark, store)
     for name, df in nodes.items():
         if name in graph.nodes:
             key = graph.nodes[name].key

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from braidwork import record_queries
+from braidwork import file_queries, record_queries
 from braidwork.functions import text as fx
 from braidwork.operators import audit, bind, flatten, fold, match, omics, reshape
 from braidwork.plans.schema import Binding, Graph
@@ -433,5 +433,5 @@ JOIN orders ON o_orderkey = l_orderkey WHERE lower(p_name) LIKE '%gear%' AND l_q
 SELECT s AS "methylationStatus", count(*)::BIGINT AS n_rows FROM v GROUP BY s UNION ALL SELECT 'linked to rule1', count(*)::BIGINT FROM v""",
 }
 
-QUERIES |= record_queries.QUERIES
-SQL |= record_queries.SQL
+QUERIES |= record_queries.QUERIES | file_queries.QUERIES
+SQL |= record_queries.SQL | file_queries.SQL

@@ -84,24 +84,39 @@ def file_id(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -2)
 
 
-def _with_header(lines: DataFrame, fields: dict[str, str], is_header: Column | None, least: Column | int | None, default: list[str] | None = None) -> DataFrame:
-    """Named fields of tab lines whose header is the first line of each file, or the line
-    that ``is_header`` marks; ``fields`` maps an output name to a header name.
+def file_headers(lines: DataFrame, fields: dict[str, str], is_header: Column | None = None) -> DataFrame:
+    """One row a file: file_path, place and length of its header line, and the positions of
+    the named fields in it, from 0 (null where it lacks one).
 
-    One header row a file is joined back by path.
+    The header is the first line of the file, or the first that ``is_header`` marks. It
+    stands in the first part of its file, so lines of later parts aren't grouped.
     """
-    cells = lines.withColumn("cells", F.split("value", "\t"))
-    # A header stands in the first part of its file, so lines of later parts aren't grouped.
-    could = F.col("at.block") == 0
-    heads = cells.filter(could if is_header is None else could & is_header).groupBy("file_path").agg(F.min_by("cells", "at").alias("head"), F.min("at").alias("head_at"))
-    both = cells.join(heads, "file_path", "left").filter(F.col("head_at").isNull() | (F.col("at") != F.col("head_at")))
+    could = lines.filter(F.col("at.block") == 0 if is_header is None else (F.col("at.block") == 0) & is_header)
+    could = could.select("file_path", F.col("at.line").alias("line"), "value", F.col("at").alias("head_at"))
+    # Two steps: a number can be aggregated by hashing, a line of text would be sorted.
+    first = could.groupBy("file_path").agg(F.min("line").alias("line"))
+    heads = could.join(first, ["file_path", "line"])
+    cells = F.split("value", "\t")
+    places = F.transform(F.array(*[F.lit(h) for h in fields.values()]), lambda h: F.nullif(F.array_position(cells, h).cast("int") - 1, F.lit(-1)))
+    return heads.select("file_path", "head_at", F.size(cells).alias("head_size"), places.alias("places"))
+
+
+def _with_header(lines: DataFrame, fields: dict[str, str], is_header: Column | None, least: int | None, default: list[str] | None = None) -> DataFrame:
+    """Named fields of tab lines; ``fields`` maps an output name to a header name.
+
+    Each file's header is looked up once; a line takes its cells by position.
+    """
+    heads = file_headers(lines, fields, is_header)
+    both = lines.join(heads, "file_path", "left").filter(F.col("head_at").isNull() | (F.col("at") != F.col("head_at")))
     if default is not None:
-        both = both.withColumn("head", F.coalesce("head", F.array(*[F.lit(d) for d in default])))
-    size = F.size("head") if least is None else F.lit(least)
-    both = both.filter(F.size("cells") >= size)
-    pick = lambda name: F.coalesce(F.get("cells", F.array_position("head", F.lit(name)).cast("int") - 1), F.lit(""))
-    found = lambda name: F.when(F.array_position("head", F.lit(name)) > 0, pick(name)).otherwise(F.lit(""))
-    return both.select("file_path", "at", *[found(h).alias(n) for n, h in fields.items()])
+        plain = F.array(*[F.lit(default.index(h) if h in default else None).cast("int") for h in fields.values()])
+        both = both.withColumns({"places": F.coalesce("places", plain), "head_size": F.coalesce("head_size", F.lit(len(default)))})
+    # The cells come out of a generator: filters above it then read them, where otherwise
+    # each would be pushed below and split the line again.
+    cells = both.select("file_path", "at", "head_size", "places", F.explode(F.array(F.split("value", "\t"))).alias("cells"))
+    cells = cells.filter(F.size("cells") >= (F.col("head_size") if least is None else F.lit(least)))
+    pick = lambda k: F.coalesce(F.get("cells", F.get("places", F.lit(k))), F.lit(""))
+    return cells.select("file_path", "at", *[pick(k).alias(n) for k, n in enumerate(fields)])
 
 
 def read_star_counts(spark: SparkSession, paths) -> DataFrame:
