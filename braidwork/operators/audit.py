@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import quote, unquote, urlsplit
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,11 +119,67 @@ def endpoint_preflight(graph: Graph, nodes: dict[str, DataFrame], edges: dict[st
     return out if have is None else out.join(have.select("label").distinct(), "label", "left_anti")
 
 
-def verify_manifest(spark: SparkSession, folder: str, manifest: DataFrame, checksums: bool = False) -> DataFrame:
-    """The status of each manifest entry against the files below a folder."""
+#: Stores that tasks can open by themselves.
+STREAMED = ("file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss")
+
+
+def open_landed(path: str):
+    """A stream of a landed file, opened in a task."""
+    from pyarrow import fs
+
+    scheme = urlsplit(path).scheme
+    if scheme in ("", "file"):
+        return fs.LocalFileSystem().open_input_stream("/" + path.removeprefix("file:").lstrip("/"))
+    store, name = fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/"))
+    return store.open_input_stream(name)
+
+
+def landed_files(spark: SparkSession, folder: str, checksums: bool = False, opener=None, chunk: int = 1 << 20) -> DataFrame:
+    """(path, landed_size, landed_md5) of the files below a folder.
+
+    Files are listed without their contents. Sums are read in chunks by the task that the file
+    is dealt to, so a file of any size takes bounded memory. ``opener`` gives a stream for a
+    path; by default files in stores named in STREAMED are opened so, and those of other stores
+    are read by Spark whole, which holds up to 2 GB a file.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    digest = F.md5("content") if checksums else F.lit(None).cast("string")  # contents are read only if asked for
-    landed = files.select(F.element_at(F.split("path", "/"), -2).alias("id"), F.element_at(F.split("path", "/"), -1).alias("filename"), F.col("length").alias("landed_size"), digest.alias("landed_md5"))
+    read = _with_sums(spark, files, folder, opener, chunk) if checksums else files.select("path", F.col("length").alias("landed_size"), F.lit(None).cast("string").alias("landed_md5"))
+    # A scan skips files without a byte; they are known from the listing, which the driver has made for it.
+    listed = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in files.inputFiles()]
+    empty = spark.createDataFrame(listed, "path string").join(files.select("path"), "path", "left_anti")
+    return read.unionByName(empty.select("path", F.lit(0).cast("long").alias("landed_size"), F.md5(F.lit("")).alias("landed_md5")))
+
+
+def _with_sums(spark: SparkSession, files: DataFrame, folder: str, opener, chunk: int) -> DataFrame:
+    jvm = spark.sparkContext._jvm
+    full = jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = urlsplit(full.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(full).toString()).scheme
+    if opener is None and scheme not in STREAMED:
+        return files.select("path", F.col("length").alias("landed_size"), F.md5("content").alias("landed_md5"))
+    get = opener or open_landed
+
+    def run(batches):
+        import hashlib
+
+        import pyarrow as pa
+
+        for b in batches:
+            sums = []
+            for path in b.column(0).to_pylist():
+                h = hashlib.md5()
+                with get(path) as f:
+                    while part := f.read(chunk):
+                        h.update(part)
+                sums.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sums, pa.string())], names=["path", "landed_size", "landed_md5"])
+
+    return files.select("path", F.col("length").alias("landed_size")).mapInArrow(run, "path string, landed_size long, landed_md5 string")
+
+
+def verify_manifest(spark: SparkSession, folder: str, manifest: DataFrame, checksums: bool = False, opener=None) -> DataFrame:
+    """The status of each manifest entry against the files below a folder."""
+    part = lambda k: F.element_at(F.split("path", "/"), k)
+    landed = landed_files(spark, folder, checksums, opener).select(part(-2).alias("id"), part(-1).alias("filename"), "landed_size", "landed_md5")
     return compare_manifest(manifest, landed, checksums)
 
 

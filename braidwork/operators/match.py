@@ -212,3 +212,52 @@ def classify_methylation(obs: DataFrame, rule_id: str, low: float, high: float,
     rows = obs.withColumn(status, name)
     edges = rows.filter(F.col(status) != "").select(F.col(key).alias("startId"), F.lit(rule_id).alias("endId"), F.lit("MethylationObservation").alias("startLabel"), F.lit("MethylationStatusRule").alias("endLabel"))
     return rows, edges
+
+
+def rule_intervals(rules: DataFrame, rule_key: str = "methylationStatusRuleId", platform: str = "platformCode") -> DataFrame:
+    """The disjoint ranges of values in which each rule gives each status: (rule, platform,
+    status, low, low_open, high, high_open); null ends are open on that side.
+
+    At or below hypoThreshold is hypomethylated, else at or above hyperThreshold
+    hypermethylated, else between the intermediate bounds, where given, intermediate. A
+    status whose thresholds a rule lacks has no range; blank or odd numbers are lacking.
+    """
+    r = rules.select(F.col(rule_key).alias("rule"), F.col(platform).alias("platform"), *[number(F.col(c)).alias(n) for n, c in (("h", "hypoThreshold"), ("t", "hyperThreshold"), ("a", "intermediateLowerBound"), ("b", "intermediateUpperBound"))])
+    span = lambda status, low, low_open, high, high_open, there: F.when(there, F.struct(
+        F.lit(status).alias("status"), low.cast("double").alias("low"), low_open.alias("low_open"), high.cast("double").alias("high"), high_open.alias("high_open")))
+    none, yes, no, h, t, a, b = F.lit(None), F.lit(True), F.lit(False), *[F.col(c) for c in "htab"]
+    below, above = a.isNull() | (a <= h), b.isNull() | (b >= t)  # whether a threshold is the nearer bound
+    low = F.when(h.isNull() | ~below, a).otherwise(h)
+    high = F.when(t.isNull() | ~above, b).otherwise(t)
+    spans = F.array(
+        span("hypomethylated", none, no, h, no, h.isNotNull()),
+        span("hypermethylated", F.greatest(h, t), F.coalesce(h >= t, no), none, no, t.isNotNull()),
+        span("intermediate", low, h.isNotNull() & below, high, t.isNotNull() & above, low.isNotNull() & high.isNotNull()),
+    )
+    return r.select("rule", "platform", F.explode(F.array_compact(spans)).alias("s")).select("rule", "platform", "s.*").filter("low is null or high is null or low < high or (low = high and not low_open and not high_open)")
+
+
+def classify_by_rules(obs: DataFrame, rules: DataFrame, value: str = "betaValue", key: str = "methylationObservationId", platform: str = "platformCode", status: str = "methylationStatus", cells: int = 64) -> tuple[DataFrame, DataFrame]:
+    """Observations with the status that the first rule of their platform (by id) gives them,
+    and an edge with its status to every rule that gives one.
+
+    Values from 0 to 1 fall in ``cells`` equal cells, those outside in the first or last; a rule's
+    range is listed under the cells it meets, and observations meet it by platform and
+    cell, so only rules that can apply are compared. Without a fitting rule the status is
+    blank. Null platforms meet no rule.
+    """
+    cell = lambda x: F.least(F.greatest(F.floor(x * cells), F.lit(0)), F.lit(cells - 1)).cast("int")
+    spans = rule_intervals(rules, platform=platform)
+    end = lambda c, other: F.when(F.col(c).isNull(), F.lit(other)).otherwise(cell(F.col(c)))
+    under = F.sequence(end("low", 0), end("high", cells - 1))
+    listed = spans.withColumn("_cell", F.explode(under))
+    beta = number(F.col(value))
+    mine = obs.select(F.col(key).alias("startId"), F.col(platform).alias("platform"), beta.alias("_value"), cell(beta).alias("_cell")).filter("_value is not null and not isnan(_value)")
+    v = F.col("_value")
+    inside = (F.col("low").isNull() | (v > F.col("low")) | (~F.col("low_open") & (v == F.col("low")))) & (F.col("high").isNull() | (v < F.col("high")) | (~F.col("high_open") & (v == F.col("high"))))
+    edges = mine.join(listed, ["platform", "_cell"]).filter(inside).select(
+        "startId", F.col("rule").alias("endId"), F.lit("MethylationObservation").alias("startLabel"), F.lit("MethylationStatusRule").alias("endLabel"), "status"
+    )
+    first = edges.groupBy("startId").agg(F.min_by("status", "endId").alias("_status"))
+    out = obs.drop(status).join(first, obs[key] == first["startId"], "left").withColumn(status, F.coalesce("_status", F.lit(""))).drop("startId", "_status")
+    return out, edges

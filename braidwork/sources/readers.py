@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,14 +40,91 @@ def _hits(df: DataFrame) -> DataFrame:
     return df
 
 
-def read_cases(spark: SparkSession, path, schema=None, project: str | None = None, program: str | None = None) -> DataFrame:
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    out = _hits(reader.json(path))
+# The nested parts of a case record; [] marks lists.
+CASE_PARTS = (
+    "project", "project.program", "demographic", "diagnoses[]", "diagnoses[].pathology_details[]", "diagnoses[].treatments[]", "follow_ups[]", "exposures[]",
+    "other_clinical_attributes[]", "samples[]", "samples[].portions[]", "samples[].portions[].analytes[]", "samples[].portions[].analytes[].aliquots[]",
+)
+
+#: Declared fields of each part ("" is the case itself), all text unless a type is given.
+CASE_FIELDS: dict[str, list[str]] = {
+    "": ["case_id", "submitter_id", "primary_site", "disease_type"],
+    "project": ["project_id", "name", "state"],
+    "project.program": ["program_id", "name"],
+    "demographic": ["demographic_id", "gender", "race", "ethnicity", "vital_status", "days_to_birth long", "days_to_death long"],
+    "diagnoses[]": ["diagnosis_id", "primary_diagnosis", "icd_10_code", "morphology", "tissue_or_organ_of_origin", "ajcc_pathologic_stage", "age_at_diagnosis long"],
+    "diagnoses[].pathology_details[]": ["pathology_detail_id"],
+    "diagnoses[].treatments[]": ["treatment_id", "treatment_type", "therapeutic_agents"],
+    "follow_ups[]": ["follow_up_id", "days_to_follow_up long"],
+    "exposures[]": ["exposure_id"],
+    "other_clinical_attributes[]": ["other_clinical_attribute_id"],
+    "samples[]": ["sample_id", "submitter_id", "sample_type"],
+    "samples[].portions[]": ["portion_id"],
+    "samples[].portions[].analytes[]": ["analyte_id"],
+    "samples[].portions[].analytes[].aliquots[]": ["aliquot_id", "submitter_id"],
+}
+
+
+def nested_schema(fields: dict[str, list[str]]) -> T.StructType:
+    """A record's schema from the fields of its parts, named by path as in CASE_FIELDS."""
+
+    def struct(path: str) -> T.StructType:
+        own = []
+        for f in fields.get(path, ()):
+            name, _, kind = f.partition(" ")
+            own.append(T.StructField(name, T._parse_datatype_string(kind) if kind else T.StringType()))
+        for part in fields:
+            name = part.removeprefix(f"{path}." if path else "")
+            if part and part != path and part.startswith(f"{path}." if path else "") and "." not in name:
+                inner = struct(part)
+                own.append(T.StructField(name.removesuffix("[]"), T.ArrayType(inner) if name.endswith("[]") else inner))
+        return T.StructType(own)
+
+    return struct("")
+
+
+def case_schema(more: dict[str, list[str]] | None = None) -> T.StructType:
+    """The declared schema of a case, with more fields of its parts if given."""
+    more = more or {}
+    return nested_schema({p: list(dict.fromkeys([*CASE_FIELDS.get(p, []), *more.get(p, [])])) for p in dict.fromkeys(["", *CASE_PARTS, *more])})
+
+
+BAD = "_bad_record"
+
+
+def read_pages(spark: SparkSession, path, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Records of response pages, or of lines that hold one record each, by a declared
+    schema: no pass to infer one. Also (file, record) of the lines that are no JSON or
+    don't fit the schema."""
+    page = T.StructField("data", T.StructType([T.StructField("hits", T.ArrayType(schema))]))
+    whole = T.StructType([page, *schema.fields, T.StructField(BAD, T.StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "").select(F.col("_metadata.file_path").alias("file"), "value")
+    # A line is parsed once: what reads the generated column isn't pushed below it.
+    read = lines.select("file", "value", F.explode(F.array(F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))).alias("r"))
+    bad = read.filter(F.col(f"r.{BAD}").isNotNull()).select("file", F.col("value").alias("record"))
+    one = F.array(F.struct(*[F.col(f"r.`{n}`").alias(n) for n in schema.names]))
+    hits = F.when(F.col("r.data").isNull(), one).otherwise(F.coalesce("r.data.hits", F.array().cast(T.ArrayType(schema))))
+    return read.filter(F.col(f"r.{BAD}").isNull()).select(F.explode(hits).alias("hit")).select("hit.*"), bad
+
+
+def bad_report(bad: DataFrame) -> DataFrame:
+    """Bad records of each file."""
+    return bad.groupBy("file").agg(F.count("*").alias("n_bad"), F.min("record").alias("first"))
+
+
+def of_project(cases: DataFrame, project: str | None = None, program: str | None = None) -> DataFrame:
     if project:
-        out = out.filter(F.col("project.project_id") == project)
+        cases = cases.filter(F.col("project.project_id") == project)
     if program:
-        out = out.filter(F.col("project.program.name") == program)
-    return out
+        cases = cases.filter(F.col("project.program.name") == program)
+    return cases
+
+
+def read_cases(spark: SparkSession, path, schema=None, project: str | None = None, program: str | None = None) -> DataFrame:
+    """Cases of one project or program. Without a schema it is inferred; read_pages reads by
+    ``case_schema()`` and reports bad records."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return of_project(_hits(reader.json(path)), project, program)
 
 
 def read_file_metadata(spark: SparkSession, path, schema=None) -> DataFrame:
@@ -164,12 +243,35 @@ def maf_calls(lines: DataFrame) -> DataFrame:
     return _with_header(lines, MAF_FIELDS, None, 2)
 
 
-def read_raw_table(spark: SparkSession, path: str, ordered: bool = False) -> DataFrame:
+def files_by_line_ends(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """The files below a path whose lines are records, and those in which a quoted cell may
+    hold a line end: there a line has an odd number of quotes."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (quotes % 2).alias("odd"))
+    found = rows.groupBy("file").agg(F.max("odd").alias("odd")).collect()  # one row a file
+    name = lambda r: unquote(r["file"])
+    return sorted(name(r) for r in found if not r["odd"]), sorted(name(r) for r in found if r["odd"])
+
+
+def read_raw_table(spark: SparkSession, path: str, ordered: bool = False, multi_line: bool | None = None) -> DataFrame:
     """A headed text table: tabs for .tsv and .tab, else commas; all text. ``ordered`` adds
-    the place of each row."""
+    the place of each row.
+
+    A quoted cell can hold line ends. ``multi_line`` says whether some do; None looks for
+    them first. Files where they may occur are read by one task each, the others in parts.
+    """
     sep = "\t" if path.rstrip("/").rsplit(".", 1)[-1] in ("tsv", "tab") else ","
-    out = spark.read.csv(path, header=True, sep=sep, escape='"', quote='"', inferSchema=False)
-    return (_placed(out, True) if ordered else out).na.fill("")
+
+    def read(paths, whole: bool) -> DataFrame:
+        out = spark.read.csv(paths, header=True, sep=sep, escape='"', quote='"', inferSchema=False, multiLine=whole)
+        return _placed(out, True) if ordered else out
+
+    if multi_line is None:
+        plain, quoted = files_by_line_ends(spark, path)
+        if plain and quoted:
+            return read(plain, False).unionByName(read(quoted, True), allowMissingColumns=True).na.fill("")
+        multi_line = bool(quoted)
+    return read(path, multi_line).na.fill("")
 
 
 def _read_parquet(spark: SparkSession, path: str, ordered: bool) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from braidwork.functions.text import blank, scrub
 from braidwork.plans.schema import Edge, Graph
 
-CSV = {"header": True, "escape": '"', "quote": '"', "emptyValue": "", "nullValue": ""}
+CSV = {"header": True, "escape": '"', "quote": '"', "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def counted(df: DataFrame, write: Callable[[DataFrame], None], **metrics: Column) -> dict[str, int]:
