@@ -213,6 +213,47 @@ def landed_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select(nation, "landed_size", "landed_md5")
 
 
+def selected_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """File records as landed lines, of which one layer's, one program's and one case's are
+    selected."""
+    at = scratch_folder(spark, "hits")
+    k = F.col("o_orderkey")
+    strategy = F.when(k % 2 == 0, "RNA-Seq").otherwise("WXS")
+    project = F.struct(F.concat(F.lit("P"), k % 5).alias("project_id"), F.struct(F.concat(F.lit("G"), k % 3).alias("name")).alias("program"))
+    cases = F.array(F.struct(F.concat(F.lit("c"), "o_custkey").alias("case_id"), project.alias("project")), F.struct(F.lit("c0").alias("case_id"), F.lit(None).cast(project_type()).alias("project")))
+    hits = _table(spark, sf_dir, "orders").select(
+        k.cast("string").alias("file_id"), strategy.alias("experimental_strategy"), F.lit("Gene Expression Quantification").alias("data_type"), F.lit("Transcriptome Profiling").alias("data_category"),
+        F.struct(F.when(k % 4 == 0, "STAR - Counts").otherwise("other").alias("workflow_type")).alias("analysis"), F.when(k % 8 == 4, "controlled").otherwise("open").alias("access"), cases.alias("cases"),
+    )
+    hits.select(F.to_json(F.struct("*")).alias("value")).write.text(at)
+    files = readers.read_file_metadata(spark, at, schema=hits.schema)
+    layer = readers.file_selection(files, "expression")
+    one = lambda df, name: df.select(F.lit(name).alias("selection"), "file_id")
+    some = one(layer, "layer").unionByName(one(readers.file_selection(files, "expression", project="P3", program="G1"), "program"))
+    return some.unionByName(one(readers.file_selection(files, {"access": "controlled"}, case_id="c7"), "case"))
+
+
+def project_type() -> str:
+    return "struct<project_id:string,program:struct<name:string>>"
+
+
+def patient_survival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survival lines with a comment, landed as a text table, and their endpoints for the
+    cases of a crosswalk; patients that it lacks are counted."""
+    at = scratch_folder(spark, "survival")
+    k = F.col("c_custkey")
+    event = F.when(k % 3 == 0, "1:DECEASED").when(k % 3 == 1, "0:LIVING").otherwise("")
+    line = F.concat_ws("\t", F.concat(F.lit("b"), k), event, F.when(k % 7 == 0, "").otherwise(F.format_string("%.2f", (k % 200) / 4.0)), F.lit("0:NO"), F.lit("12.5"))
+    body = _table(spark, sf_dir, "customer").select(line.alias("value"), k.alias("at"))
+    head = spark.createDataFrame([("# landed", -2), ("PATIENT_ID\tOS_STATUS\tOS_MONTHS\tDFS_STATUS\tDFS_MONTHS", -1)], "value string, at long")
+    head.unionByName(body).coalesce(1).sortWithinPartitions("at").select("value").write.text(at)
+    crosswalk = _table(spark, sf_dir, "customer").filter(k % 4 != 0).select(F.concat(F.lit("b"), k).alias("case_submitter_id"), F.concat(F.lit("u"), k).alias("case_id"))
+    patients = readers.read_patient_survival(spark, at)
+    rows = omics.survival_endpoints(patients, crosswalk).select("case_id", "survival_type", "event", "time_days")
+    lost = omics.unmatched_patients(patients, crosswalk).groupBy().agg(F.count("*").cast("string").alias("n"))
+    return rows.unionByName(lost.select(F.lit("unmatched").alias("case_id"), F.lit("").alias("survival_type"), F.lit("").alias("event"), F.col("n").alias("time_days")))
+
+
 def graph_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Node and edge tables written as a graph folder and read back, with a table that the
     graph doesn't declare left out; the rows that were counted as they were written."""
@@ -243,7 +284,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         fold_into_store, fold_edges_into_store, store_dropped_edges, bulk_written, two_genotype_files, two_matrix_files, raw_table_lines, read_case_pages,
-        bad_case_pages, rule_statuses, rule_edges, landed_digests, graph_round_trip, entity_files,
+        bad_case_pages, rule_statuses, rule_edges, landed_digests, graph_round_trip, entity_files, selected_files,
+        patient_survival,
     )
 }
 
@@ -306,4 +348,14 @@ SELECT *, count(*) OVER (PARTITION BY kind)::BIGINT AS n_written, 'nodes/Odd' AS
 WITH c AS (SELECT * FROM customer WHERE {_CUT}), d AS (SELECT c_custkey::VARCHAR AS id FROM c JOIN orders ON o_custkey = c_custkey)
 SELECT 'study' AS name, 'P' || c_nationkey AS key, count(*)::BIGINT AS n_rows FROM c GROUP BY ALL
 UNION ALL SELECT 'diagnosis', id, count(*) FROM d GROUP BY ALL UNION ALL SELECT 'observed', 'D' || length(id), count(*) FROM d GROUP BY ALL""",
+    "selected_files": """
+WITH f AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders)
+SELECT 'layer' AS selection, k::VARCHAR AS file_id FROM f WHERE k % 4 = 0 AND k % 8 <> 4
+UNION ALL SELECT 'program', k::VARCHAR FROM f WHERE k % 4 = 0 AND k % 8 <> 4 AND k % 5 = 3 AND k % 3 = 1
+UNION ALL SELECT 'case', k::VARCHAR FROM f WHERE k % 8 = 4 AND c = 7""",
+    "patient_survival": """
+WITH c AS (SELECT c_custkey AS k, CASE c_custkey % 3 WHEN 0 THEN '1' WHEN 1 THEN '0' END AS e, CASE WHEN c_custkey % 7 <> 0 THEN printf('%.2f', (c_custkey % 200) / 4.0)::DOUBLE END AS m FROM customer)
+SELECT 'u' || k AS case_id, 'OS' AS survival_type, e AS event, round_even(m * 30.4368, 0)::BIGINT::VARCHAR AS time_days FROM c WHERE k % 4 <> 0 AND e IS NOT NULL AND m IS NOT NULL
+UNION ALL SELECT 'u' || k, 'DFI', '0', round_even(12.5 * 30.4368, 0)::BIGINT::VARCHAR FROM c WHERE k % 4 <> 0
+UNION ALL SELECT 'unmatched', '', '', count(*)::VARCHAR FROM c WHERE k % 4 = 0""",
 }

@@ -209,9 +209,9 @@ def standardise_star(spark, sf_dir):
 
 
 def binding_report(spark, sf_dir):
-    tables = {"customer": _table(spark, sf_dir, "customer").withColumn("c_name", F.when(F.col("c_custkey") % 4 > 0, F.col("c_name")).otherwise(" n/a ")), "orders": _table(spark, sf_dir, "orders")}
+    tables = {"customer": _table(spark, sf_dir, "customer").withColumn("c_name", F.when(F.col("c_custkey") % 4 > 0, F.col("c_name")).otherwise(" n/a ")), "orders": _table(spark, sf_dir, "orders").withColumn("o-orderdate", F.lit("a header that reads like another"))}
     found = bind.binding_report(STAR, Profile.of("star", PROFILES.__getitem__), tables)
-    return found.filter("entry in ('property', 'skipped', 'key')").select("kind", "name", "source", "entry", "item", "column", "how", F.round("fill_rate", 6).alias("fill_rate"))
+    return found.select("kind", "name", "source", "entry", "item", "column", "how", F.round("fill_rate", 6).alias("fill_rate"))
 
 
 # The star schema under the labels of the documented patterns.
@@ -270,8 +270,11 @@ def _pattern_tables(spark, sf_dir) -> match.Tables:
 
     def edge(kind, a, b, rows):
         name, start, end, where = rows
-        df = _table(spark, sf_dir, name).filter(where) if where else _table(spark, sf_dir, name)
-        cols = [F.expr(f"cast({x} as string)").alias(n) for n, x in (("startId", start), ("endId", end))]
+        # Rows outside the condition stay edges, to an id that no node has.
+        df, ends = _table(spark, sf_dir, name), {"startId": f"cast({start} as string)", "endId": f"cast({end} as string)"}
+        if where:
+            ends["endId"] = f"if({where}, {ends['endId']}, concat('no ', {ends['endId']}))"
+        cols = [F.expr(x).alias(n) for n, x in ends.items()]
         out = df.select(*cols, F.lit(a).alias("startLabel"), F.lit(b).alias("endLabel"), *[F.expr(x).alias(p) for p, x in _PROPERTY.get(kind, {}).items()])
         return out.distinct() if name == "lineitem" else out
 
@@ -363,7 +366,12 @@ UNION ALL SELECT 'node', 'Customer', 'customer', 'property', 'segment', 'c_mktse
 UNION ALL SELECT 'node', 'Order', 'orders', 'key', 'o_orderkey', 'o_orderkey', 'present', NULL UNION ALL SELECT 'node', 'Part', 'orders', 'property', 'name', NULL, 'unmatched', NULL UNION ALL SELECT 'node', 'Part', 'orders', 'property', 'size', NULL, 'unmatched', NULL
 UNION ALL SELECT 'node', 'Part', 'orders', 'key', 'p_partkey', NULL, 'absent', NULL UNION ALL SELECT 'edge', 'PLACED', 'orders', 'property', 'orderPriority', 'o_orderpriority', 'rename', 1.0
 UNION ALL SELECT 'edge', 'PLACED', 'orders', 'key', 'o_custkey', 'o_custkey', 'present', NULL UNION ALL SELECT 'edge', 'PLACED', 'orders', 'key', 'o_orderkey', 'o_orderkey', 'present', NULL
-UNION ALL SELECT 'edge', 'HAS_PART', NULL, 'skipped', '', NULL, 'no source', NULL UNION ALL SELECT 'edge', 'SAILS', 'orders', 'skipped', '', NULL, 'not in the graph', NULL)""",
+UNION ALL SELECT 'edge', 'HAS_PART', NULL, 'skipped', '', NULL, 'no source', NULL UNION ALL SELECT 'edge', 'SAILS', 'orders', 'skipped', '', NULL, 'not in the graph', NULL)
+UNION ALL SELECT kind, name, source, 'unused', c, c, '', CASE WHEN c = 'o_orderpriority' THEN 1.0 END
+FROM (VALUES ('node', 'Customer', 'customer', ['c_nationkey', 'c_acctbal']), ('node', 'Order', 'orders', ['o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority', 'o-orderdate']),
+ ('node', 'Part', 'orders', ['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority', 'o-orderdate']),
+ ('edge', 'PLACED', 'orders', ['o_orderstatus', 'o_totalprice', 'o_orderdate', 'o-orderdate'])) v(kind, name, source, cs), unnest(cs) u(c)
+UNION ALL SELECT kind, name, 'orders', 'ambiguous', 'oOrderdate', 'o_orderdate,o-orderdate', '', NULL FROM (VALUES ('node', 'Order'), ('node', 'Part'), ('edge', 'PLACED')) w(kind, name)""",
     "pattern_methylation_by_gene": _limited("pattern_methylation_by_gene", 'o_orderkey::VARCHAR AS "sampleId", r_name AS symbol, n_nationkey::VARCHAR AS "cpgId", n_name AS "sourceCpgId", c_mktsegment AS "betaValue", CASE WHEN c_custkey % 2 = 0 THEN (c_custkey % 5)::VARCHAR END AS "methylationStatusRuleId"', "region JOIN nation ON n_regionkey = r_regionkey AND r_name = 'ASIA' JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey"),
     "pattern_evidence_for_rule": _limited("pattern_evidence_for_rule", 'c_custkey::VARCHAR AS "methylationObservationId", c_mktsegment AS "betaValue", r.r_regionkey::VARCHAR AS "methylationStatusRuleId", r_name AS "ruleName", s_suppkey::VARCHAR AS "publicationId", s_name AS title', "customer JOIN region r ON r_regionkey = c_custkey % 5 AND c_custkey = 4 LEFT JOIN (nation JOIN supplier ON s_nationkey = n_nationkey AND n_nationkey % 2 = 0) ON n_regionkey = r_regionkey", 20),
     "pattern_variants_within_gene": _limited("pattern_variants_within_gene", 'o_orderkey::VARCHAR AS "sampleId", n_nationkey::VARCHAR AS "variantId", c_custkey::VARCHAR AS "variantObservationId", c_mktsegment AS "variantCaller", n_name AS "geneRegion"', "region JOIN nation ON n_regionkey = r_regionkey AND r_name = 'EUROPE' JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey"),
