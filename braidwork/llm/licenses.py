@@ -1,16 +1,17 @@
 """License scan: an exact set-similarity join of text blocks with notice templates.
 
-Blocks are the lines of a text, and for wrapped notices the runs of words over a line
-end that are as long as a template; a block is counted by the line where it begins.
+Blocks are runs of neighbouring words, a quarter longer than the template they are held against (one
+word at least), so that words of a notice strewn over a long line are none. A run lies
+within a line or, for wrapped notices, over line ends; it is counted by the line where it begins.
 Every template is a set of tokens; a block matches when it holds at least ``threshold``
 of a template's tokens. Tokens are ordered by
 their frequency over the whole corpus, rarest first, and a block meets a template only
 through tokens in both prefixes of that order, under the length and positional filters,
 before the overlap is counted. The filters never lose a match.
 
-A run of words can match only if the whole text does, so whole texts of several lines
-go through the same join and only those that match are searched run by run. Lines that
-meet a template by themselves lend it no words for a run.
+A run can match only if its line, or the whole text, does. So lines and whole texts go
+through the join first, and only texts where one matches are searched run by run for
+that template. Lines that hold a run by themselves lend a wrapped run no words.
 
 Only template tokens can add to an overlap, so a block is first reduced to those: what
 is counted, ordered and broadcast is bounded by the templates, not by the corpus.
@@ -68,6 +69,12 @@ def need(size: int, threshold: float) -> int:
     return max(1, math.ceil(threshold * size - 1e-9))
 
 
+def run_words(text: str) -> int:
+    """Words of a run that is held against a template's text."""
+    n = len(text.split())
+    return n + max(1, n // 4)
+
+
 def license_words(text: Column) -> Column:
     spaced = F.btrim(F.regexp_replace(lower_ascii(text), NOT_WORD, " "))
     return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
@@ -148,34 +155,41 @@ def containment_join(blocks: DataFrame, key: list[str], order: dict[str, int], t
     )
 
 
-def wrapped_blocks(docs: DataFrame, found: DataFrame, key: list[str], templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
-    """key, block, label, containment for every run of words over a line end that meets a
-    template. A run has as many words as the template and begins with one of its tokens."""
-    sets = [(k, label, tokens, len(templates[k][1].split()), need(len(tokens), threshold)) for k, label, tokens in template_table(templates)]
+def notice_runs(docs: DataFrame, found: DataFrame, key: list[str], templates=TEMPLATES, threshold: float = 0.8) -> DataFrame:
+    """key, block, label, containment for every run of words that meets a template, in the
+    texts of which a line or the whole does. A run begins with one of the template's tokens."""
+    sets = [(k, label, tokens, run_words(templates[k][1]), need(len(tokens), threshold)) for k, label, tokens in template_table(templates)]
     members = docs.sparkSession.createDataFrame(sets, "template int, label string, t_tokens array<string>, t_words int, t_need int")
-    met = found.groupBy(*key, "template").agg(F.min("block").alias("_least"), F.collect_set("block").alias("_met")).filter("_least = 0")
-    met = met.select(*[F.col(k).alias(f"{k}_") for k in key], "template", "_met").join(F.broadcast(members), "template")
+    met = found.select(*[F.col(k).alias(f"{k}_") for k in key], "template").distinct().join(F.broadcast(members), "template")
     same = F.lit(True)
     for k in key:
         same = same & F.col(k).eqNullSafe(F.col(f"{k}_"))
-    texts = docs.filter(F.contains("_text", F.lit("\n"))).join(met, same)
+    texts = docs.join(met, same)
     words = F.flatten(F.transform(F.split(F.col("_text"), "\n"), lambda line, k: F.transform(license_words(line), lambda w: F.struct((k + 1).alias("block"), w.alias("word")))))
     placed = F.transform(words, lambda w, i: F.struct(w["block"].alias("block"), w["word"].alias("word"), i.alias("place")))
-    hits = F.filter(placed, lambda w: F.array_contains("t_tokens", w["word"]) & ~F.array_contains("_met", w["block"]))
+    hits = F.filter(placed, lambda w: F.array_contains("t_tokens", w["word"]))
 
-    def run(hs: Column, h: Column, i: Column) -> Column:
+    def run(hs: Column, h: Column, i: Column, in_line: bool) -> Column:
         inside = F.filter(F.slice(hs, i + 1, F.col("t_words")), lambda x: x["place"] < h["place"] + F.col("t_words"))
+        inside = F.filter(inside, lambda x: x["block"] == h["block"]) if in_line else inside
         return F.struct(
             h["block"].alias("block"),
             F.array_max(F.transform(inside, lambda x: x["block"])).alias("last"),
             F.size(F.array_distinct(F.transform(inside, lambda x: x["word"]))).alias("shared"),
         )
 
-    # The hits stand in an array of one, so that they are computed once a text.
-    runs = F.flatten(F.transform(F.array(hits), lambda hs: F.transform(hs, lambda h, i: run(hs, h, i))))
-    wrapped = F.filter(runs, lambda r: (r["shared"] >= F.col("t_need")) & (r["last"] > r["block"]))
+    def runs(hs: Column, in_line: bool) -> Column:
+        # The hits stand in an array of one, so that they are computed once a text.
+        every = F.flatten(F.transform(F.array(hs), lambda x: F.transform(x, lambda h, i: run(x, h, i, in_line))))
+        return F.filter(every, lambda r: (r["shared"] >= F.col("t_need")) & (F.lit(in_line) | (r["last"] > r["block"])))
+
+    # The generators keep what they make from being computed again above.
+    held = texts.select(*key, "label", "t_tokens", "t_words", "t_need", F.explode(F.array(hits)).alias("_hits")).filter(F.size("_hits") >= F.col("t_need"))
+    held = held.select("*", F.explode(F.array(runs(F.col("_hits"), True))).alias("_lines"))
+    whole_lines = F.transform("_lines", lambda r: r["block"])
+    rest = F.filter("_hits", lambda h: ~F.array_contains(whole_lines, h["block"]))
     return (
-        texts.select(*key, "label", F.size("t_tokens").alias("_size"), F.explode(wrapped).alias("_run"))
+        held.select(*key, "label", F.size("t_tokens").alias("_size"), F.explode(F.concat("_lines", runs(rest, False))).alias("_run"))
         .select(*key, F.col("_run.block").alias("block"), "label", (F.col("_run.shared") / F.col("_size")).alias("containment"))
     )
 
@@ -200,8 +214,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
     )
     blocks = materialise(candidate_blocks(texts, key, templates, threshold), "blocks")
     met = materialise(containment_join(blocks, key, token_order(blocks, templates), templates, threshold), "met")
-    wrapped = wrapped_blocks(texts, met, key, templates, threshold)
-    found = met.filter("block > 0").select(*wrapped.columns).unionByName(wrapped)
+    found = notice_runs(texts, met, key, templates, threshold)
     by_text = found.groupBy(*key).agg(
         F.sort_array(F.collect_set("label")).alias("_method"),  # at most one entry a template
         F.max("containment").alias("_best"),

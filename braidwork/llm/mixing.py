@@ -199,4 +199,4 @@ def mixed_documents(docs: DataFrame, **params) -> DataFrame:
     spread = taken.select("_row", F.explode(copies).alias("_words"))
     pieces = F.slice(F.split(F.btrim("_row.text", F.lit(" \t\n\x0b\x0c\r")), "(?<=[^ \\t-\\r])(?=[ \\t-\\r])"), 1, F.col("_words"))
     cut = F.when(F.col("_words") == 0, F.col("_row.text")).otherwise(F.array_join(pieces, ""))
-    return spread.select(*[cut.alias("text") if c == "text" else F.col(f"_row.{c}").alias(c) for c in columns])
+    return spread.select(*[cut.alias("text") if c == "text" else F.col("_row").getField(c).alias(c) for c in columns])

@@ -1,12 +1,12 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from braidwork.llm.licenses import PHRASES, TEMPLATES, need, template_table
+from braidwork.llm.licenses import PHRASES, TEMPLATES, need, run_words, template_table
 from braidwork.llm.quality import STOP_FORMS
 
 _STOPS = ", ".join(f"'{w}'" for w in STOP_FORMS)
 
 _TEMPLATE_ROWS = ", ".join(
-    f"({k}, '{label}', {tokens}, {need(len(tokens), 0.8)})" for k, label, tokens in template_table(TEMPLATES)
+    f"({k}, '{label}', {tokens}, {need(len(tokens), 0.8)}, {run_words(TEMPLATES[k][1])})" for k, label, tokens in template_table(TEMPLATES)
 )
 _PHRASE_ROWS = ", ".join(f"({phrase.split()}, '{label}')" for phrase, label in PHRASES)
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -92,11 +92,12 @@ ph(p, label) AS (VALUES {_PHRASE_ROWS}),
 hit AS (SELECT r, label, unnest(list_filter(range(0, len(ws)), lambda i: ws[i + 1 : i + len(p)] = p)) AS place
         FROM w, ph WHERE contains(' ' || array_to_string(ws, ' ') || ' ', ' ' || array_to_string(p, ' ') || ' ')),
 base AS (SELECT r, count(*) AS n, min(place) AS a, max(place) AS b, list(DISTINCT label) AS ls FROM hit GROUP BY r),
-line AS (SELECT r, block, list_distinct({_words('line')}) AS ts
+line AS (SELECT r, block, {_words('line')} AS ws
          FROM (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS block FROM t)),
-te(k, label, ts, need) AS (VALUES {_TEMPLATE_ROWS}),
-m AS (SELECT r, block, label, len(list_intersect(line.ts, te.ts)) / len(te.ts) AS c FROM line, te
-      WHERE len(line.ts) >= need AND len(list_intersect(line.ts, te.ts)) >= need),
+te(k, label, ts, need, size) AS (VALUES {_TEMPLATE_ROWS}),
+h AS (SELECT r, block, label, ts, need, list_max(list_transform(range(0, len(ws)), lambda i: len(list_intersect(list_distinct(ws[i + 1 : i + size]), ts)))) AS shared
+      FROM line, te WHERE len(ws) >= need AND len(list_intersect(list_distinct(ws), ts)) >= need),
+m AS (SELECT r, block, label, shared / len(ts) AS c FROM h WHERE shared >= need),
 best AS (SELECT r, list(DISTINCT label) AS ls, max(c) AS c, count(DISTINCT block) AS n FROM m GROUP BY r)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.a::BIGINT AS first_word, base.b::BIGINT AS last_word,
        coalesce(array_to_string(list_sort(base.ls), ','), '') AS base_labels,

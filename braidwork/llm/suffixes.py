@@ -266,4 +266,4 @@ def without_repeats(docs: DataFrame, size: int = 200, reach: int = 137, order: i
     whole = (F.col("copies") > 1) & (F.octet_length(F.coalesce("row.text", F.lit(""))) >= size)
     text = F.when(whole, F.lit("")).otherwise(F.coalesce("kept", "row.text"))
     out = packed.join(result, ["t1", "t2"]).select("row", text.alias("left_over")).filter(F.col("left_over").rlike("[^ \\t-\\r]"))
-    return out.select(*[F.col("left_over").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return out.select(*[F.col("left_over").alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -19,12 +19,14 @@ def brute(text):
         base |= {label} if hits else set()
     labels, best = set(base), 0.0
     for line in (text or "").split("\n"):
-        tokens = set(words(line))
-        for _, label, ts in template_table(TEMPLATES):
-            shared = len(tokens & set(ts))
+        ws = words(line)
+        for k, label, ts in template_table(TEMPLATES):
+            n = len(TEMPLATES[k][1].split())
+            shared = max((len(set(ws[i : i + n + max(1, n // 4)]) & set(ts)) for i in range(len(ws))), default=0)
             if shared >= need(len(ts), 0.8):
                 labels.add(label)
                 best = max(best, shared / len(ts))
+    ws = words(text)
     return (len(ws), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), 1.0 if base else best)
 
 
@@ -47,6 +49,17 @@ def test_short_notices(spark, make_docs):
     assert got == {0: ("", "gpl", 1.0, 1), 1: ("", "proprietary", 1.0, 1), 2: ("", "", 0.0, 0)}
 
 
+def test_words_of_a_notice_strewn_over_a_line_are_none(spark, make_docs):
+    bsd = "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met".split()
+    texts = [
+        "The film was released under a new title while the driver kept a license in the car", "Rights to all of the land were reserved for the crown",
+        "the general store sold public goods under the table with a new version of gnu milk license", " ".join(w + " so it went" for w in bsd),
+        "Well: all rights are reserved here", "x " * 40 + "released under the old mit license" + " y" * 40,
+    ]
+    got = {r.doc_id: r.labels for r in license_scan(make_docs(list(enumerate(texts)))).collect()}
+    assert got == {0: "", 1: "", 2: "", 3: "", 4: "proprietary", 5: "mit"}
+
+
 def test_wrapped_notices(spark, make_docs):
     gpl = next(t for label, t in TEMPLATES if label == "gpl").split()
     texts = [

@@ -45,9 +45,9 @@ def test_stages_against_brute_force(spark, sf_dir):
 
 
 def test_stages_keep_columns_of_any_name(spark, make_docs):
-    odd = ["copies", "kept", "_id", "_h", "_hash", "_t1", "_t2", "fp", "_row", "row", "left_over", "t1", "t2", "_words", "size"]
+    odd = ["copies", "kept", "_id", "_h", "_hash", "_t1", "_t2", "fp", "_row", "row", "left_over", "t1", "t2", "_words", "size", "a.b", "tick`s", "_row.text", "two words"]
     text = " ".join(f"word{k} the" for k in range(80))
-    docs = make_docs([(1, text), (2, text), (3, text.replace("word", "other")), (None, "short")]).selectExpr("*", *[f"'{c}' as `{c}`" for c in odd])
+    docs = make_docs([(1, text), (2, text), (3, text.replace("word", "other")), (None, "short")]).selectExpr("*", *["'{}' as `{}`".format(c, c.replace("`", "``")) for c in odd])
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, "")
         assert out.columns == docs.columns, name
