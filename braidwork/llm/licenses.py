@@ -76,8 +76,7 @@ def run_words(text: str) -> int:
 
 
 def license_words(text: Column) -> Column:
-    spaced = F.btrim(F.regexp_replace(lower_ascii(text), NOT_WORD, " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    return F.array_remove(F.split(lower_ascii(text), NOT_WORD), "")
 
 
 def phrase_places(words: Column, joined: Column, phrases=PHRASES) -> Column:
@@ -108,15 +107,14 @@ def candidate_blocks(docs: DataFrame, key: list[str], templates=TEMPLATES, thres
     some template (the length filter). Block 0 is the whole text, if it has several
     lines; the lines are numbered from 1."""
     table = template_table(templates)
-    vocabulary = F.array(*[F.lit(t) for t in sorted({t for _, _, ts in table for t in ts})])
+    vocabulary = sorted({t for _, _, ts in table for t in ts})
     least = min(need(len(ts), threshold) for _, _, ts in table)
-    whole = F.when(F.contains("_text", F.lit("\n")), F.col("_text"))
-    lines = F.concat(F.array(whole), F.split(F.col("_text"), "\n"))
-    return (
-        docs.select(*key, F.posexplode(lines).alias("block", "_line"))
-        .select(*key, "block", F.array_intersect(license_words(F.col("_line")), vocabulary).alias("tokens"))
-        .filter(F.size("tokens") >= least)
-    )
+    tokens = lambda line: F.array_distinct(F.filter(F.split(line, NOT_WORD), lambda w: w.isin(vocabulary)))
+    per_line = F.transform(F.split(lower_ascii(F.col("_text")), "\n"), tokens)
+    # A text is split once: the generator keeps its lines' tokens, of which those of the whole are the union.
+    held = docs.select(*key, F.explode(F.array(per_line)).alias("_lines"))
+    whole = F.when(F.size("_lines") > 1, F.array_distinct(F.flatten("_lines")))
+    return held.select(*key, F.posexplode(F.concat(F.array(whole), F.col("_lines"))).alias("block", "tokens")).filter(F.size("tokens") >= least)
 
 
 def token_order(blocks: DataFrame, templates=TEMPLATES) -> dict[str, int]:
@@ -200,7 +198,7 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, threshol
     texts = docs.select("doc_id", text_or_empty().alias("_text")).withColumn("_hash", F.xxhash64("_text"))
     words, joined = F.col("_words"), F.col("_joined")
     base = (
-        texts.select(*key, license_words(F.col("_text")).alias("_words"))
+        texts.select(*key, F.explode(F.array(license_words(F.col("_text")))).alias("_words"))
         .withColumn("_joined", F.concat(F.lit(" "), F.array_join("_words", " "), F.lit(" ")))
         .select(*key, F.size("_words").cast("long").alias("n_words"), phrase_places(words, joined, phrases).alias("_found"))
         .select(
