@@ -281,13 +281,13 @@ RESULT = "gaps long, blank long, duplicate long, truncated long, illegal long, c
 _FAULTS = ("", "blank", "duplicate", "truncated")
 
 
-def with_faults(rows: DataFrame) -> DataFrame:
+def with_faults(rows: DataFrame, present: str | None = None) -> DataFrame:
     """conv_id, turn, role, text, present, fault (place in _FAULTS) and symbol of each row,
-    dealt by conversation and sorted within. Rows that aren't ``present`` only keep their
-    conversation."""
+    dealt by conversation and sorted within. ``present`` names a column that is false in rows
+    that only keep their conversation; without it all rows count."""
     text, role = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("text", "role"))
-    present = F.col("present") if "present" in rows.columns else F.lit(True)
-    rows = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"), present.alias("present"))
+    there = F.col(present) if present else F.lit(True)
+    rows = rows.select("conv_id", F.col("turn").cast("long").alias("turn"), role.alias("role"), text.alias("text"), there.alias("present"))
     same = Window.partitionBy("conv_id", "present", "role", "text").orderBy(F.asc_nulls_first("turn"))
     rows = rows.repartition("conv_id").withColumn("nth", F.row_number().over(same))
     solid = F.rtrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r"))
@@ -339,7 +339,7 @@ def _repaired(batches, least_uses: int):
         yield [held.finish()]
 
 
-def repair_audits(rows: DataFrame, least_uses: int = 8) -> DataFrame:
+def repair_audits(rows: DataFrame, least_uses: int = 8, present: str | None = None) -> DataFrame:
     """conv_id, gaps, the rows of each first fault, illegal neighbours, and the cost, audit
     and hash of the cheapest repair of each conversation."""
     kind = rows.schema["conv_id"].dataType.simpleString()
@@ -358,18 +358,18 @@ def repair_audits(rows: DataFrame, least_uses: int = 8) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
-    return with_faults(rows).mapInArrow(run, f"conv_id {kind}, {RESULT}")
+    return with_faults(rows, present).mapInArrow(run, f"conv_id {kind}, {RESULT}")
 
 
-def repaired_rows(rows: DataFrame, least_uses: int = 8) -> DataFrame:
+def repaired_rows(rows: DataFrame, least_uses: int = 8, present: str | None = None) -> DataFrame:
     """conv_id, place, role and text of the repaired conversations. Each row meets its
     letters of the audit by its place among the rows of its conversation."""
-    audits = repair_audits(rows, least_uses).select("conv_id", "audit")
+    audits = repair_audits(rows, least_uses, present).select("conv_id", "audit")
     # A row's letters are the inserts before it and its own; those after the last are a row's without text.
     letters = F.regexp_extract_all(F.col("audit"), F.lit("(I*[DKR]|I+$)"), F.lit(1))
     steps = audits.select("conv_id", F.posexplode(letters).alias("nth", "letters"))
     order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "role", "text", F.desc("symbol"))
-    own = with_faults(rows).filter("present").withColumn("nth", F.row_number().over(order) - 1)
+    own = with_faults(rows, present).filter("present").withColumn("nth", F.row_number().over(order) - 1)
     both = steps.withColumnRenamed("conv_id", "c").withColumnRenamed("nth", "n").join(own, F.col("c").eqNullSafe(F.col("conv_id")) & (F.col("n") == F.col("nth")), "left")
     last = F.right("letters", F.lit(1))
     made = F.transform(F.sequence(F.lit(1), F.length("letters") - F.when(last == "D", 1).otherwise(0)), lambda k: F.struct(

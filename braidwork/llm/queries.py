@@ -87,7 +87,7 @@ def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from braidwork.llm.conversations import damaged, repair_audits
 
-    return repair_audits(damaged(read_table(spark, sf_dir, "conversations")))
+    return repair_audits(damaged(read_table(spark, sf_dir, "conversations")), present="present")
 
 
 QUERIES = (

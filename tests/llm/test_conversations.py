@@ -8,7 +8,7 @@ from braidwork.llm.conversations import GONE, INSERTS, TERMINALS, Grammar, advan
 from braidwork.llm.queries import op13_conversations
 
 SPACES = " \t\n\x0b\x0c\r"
-SCHEMA = "conv_id long, turn long, role string, text string, extra string"
+SCHEMA = "conv_id long, turn long, role string, text string, present string, `a.b` string"
 
 
 def slow_damage(rows):
@@ -101,7 +101,7 @@ def conversations(r, n):
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(*x, "e") for x in rows], SCHEMA).repartition(3)
+    return spark.createDataFrame([(*x, "e", "e") for x in rows], SCHEMA).repartition(3)
 
 
 def test_against_slow_version(spark):
@@ -118,7 +118,7 @@ def test_against_slow_version(spark):
     assert made == {k: want[k][1] for k in got if want[k][1]}
     # Damaged, with nulls; conversations of which no row is left stay.
     want = slow(slow_damage(rows), ids)
-    got = {x[0]: tuple(x)[1:] for x in repair_audits(damaged(df), least_uses=2).collect()}
+    got = {x[0]: tuple(x)[1:] for x in repair_audits(damaged(df), least_uses=2, present="present").collect()}
     assert set(got) == ids
     assert {k: v for k, v in got.items() if k != 250} == {k: v[0] for k, v in want.items() if k != 250}
     assert repair_audits(df.limit(0)).count() == 0
