@@ -12,10 +12,15 @@ an aggregation counts the seats above a grid of thresholds, a few rounds close i
 threshold quotient, and the shards at the threshold are ranked. One row per source is
 gathered, never one per shard or document.
 
+Rows equal in id, text and source are numbered and dealt to the shards in turn, so a
+group of repeated rows fills no shard, and how many of them are taken how often is the
+same however the rows are partitioned.
+
 Defined results for unusual rows: null text has size 0 and takes 0; a null source is a
 source of its own that comes last; a null doc_id or repeated rows are taken like any
-others (equal rows share a place by their order columns); an empty table gives an empty
-result; columns beyond doc_id, text and source are ignored.
+others; an empty table gives an empty result. ``mix_sources`` ignores columns beyond
+doc_id, text and source, ``mixed_documents`` passes them on unread, whatever their names;
+rows equal but for them are taken as equal ones.
 """
 
 from __future__ import annotations
@@ -147,10 +152,12 @@ def mix_sources(
 ) -> DataFrame:
     """doc_id, size, source_size, target and taken for every row, and ``keep`` columns."""
     spark = docs.sparkSession
-    sized = materialise(
-        docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), F.xxhash64("doc_id", "text", F.lit(seed)).alias("_order"), *keep),
+    order = F.xxhash64("doc_id", "text", F.lit(seed))
+    stored = materialise(
+        docs.select("doc_id", "source", count_words(F.col("text")).alias("size"), order.alias("_order"), F.monotonically_increasing_id().alias("_at"), *keep),
         "mix-sizes",
     )
+    sized = numbered(stored.select("doc_id", "source", "size", "_order", "_at"))
     totals = {r["source"]: r["n"] for r in sized.groupBy("source").agg(F.sum("size").alias("n")).collect()}
     names = sorted((s for s in totals if s is not None), key=lambda s: [ord(c) for c in s]) + [None] * (None in totals)
     sizes = [totals[s] for s in names]
@@ -163,7 +170,7 @@ def mix_sources(
     )
     # One row a source: the same bound as the gathered totals.
     placed = sized.join(F.broadcast(plan), F.col("source").eqNullSafe(F.col("p_source"))).withColumn(
-        "shard", F.pmod(F.hash("_order"), F.col("shards"))
+        "shard", F.pmod(F.hash("_order").cast("long") + F.col("_rank"), F.col("shards")).cast("int")
     )
     limit = F.ceil((F.col("cell_size") * max_repeats).cast("long") / block_words)
     cells = placed.groupBy(F.col("p_source").alias("q_source"), F.col("shard").alias("q_shard")).agg(F.sum("size").alias("cell_size"))
@@ -172,10 +179,30 @@ def mix_sources(
     same = F.col("q_source").eqNullSafe(F.col("source")) & (F.col("q_shard") == F.col("shard"))
     quota = materialise(cells.join(shares, same).select("q_source", "q_shard", "cell_size", "quota"), "mix-quotas")
     full = placed.join(quota, F.col("p_source").eqNullSafe(F.col("q_source")) & (F.col("shard") == F.col("q_shard")))
-    line = Window.partitionBy("p_source", "shard").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    return full.withColumn("_start", F.coalesce(F.sum("size").over(line), F.lit(0))).select(
-        "doc_id", "size", "source_size", "target", _taken(block_words, max_repeats).cast("long").alias("taken"), "seats", "quota", "shard", *keep
-    )
+    # Rows without words take none wherever they lie; they are kept apart, in as many lines as they need.
+    apart = F.when(F.col("size") == 0, F.col("_at") % 4096 + 1).otherwise(F.lit(0))
+    line = Window.partitionBy("p_source", "shard", apart).orderBy("_order", "doc_id", "size", "_rank").rowsBetween(Window.unboundedPreceding, -1)
+    columns = ("doc_id", "size", "source_size", "target", "taken", "seats", "quota", "shard")
+    out = full.withColumn("_start", F.coalesce(F.sum("size").over(line), F.lit(0))).withColumn("taken", _taken(block_words, max_repeats).cast("long"))
+    if not keep:
+        return out.select(*columns)
+    # The texts don't go through the lines; they meet their rows again by place.
+    return out.select(*columns, "_at").join(stored.select("_at", *keep), "_at").select(*columns, *keep)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``_rank``, which numbers rows equal in ``_order`` and source from 0.
+
+    ``_at`` is the row's number in a stored table. Rows are numbered within each of its
+    partitions, and those before it are counted by an aggregation, so no task gets a whole group.
+    """
+    keyed = rows.withColumn("_same", F.xxhash64("_order", "source", F.col("source").isNull())).withColumn("_part", F.shiftright("_at", 33))
+    earlier = Window.partitionBy("_same").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy("_same", "_part").agg(F.count("*").alias("n"))
+    before = counts.select("_same", "_part", F.sum("n").over(earlier).alias("_before")).filter("_before > 0")
+    place = F.row_number().over(Window.partitionBy("_same", "_part").orderBy("_at")) - 1
+    ranked = keyed.withColumn("_place", place).join(before, ["_same", "_part"], "left")
+    return ranked.select(*rows.columns, (F.col("_place") + F.coalesce("_before", F.lit(0))).alias("_rank"))
 
 
 def _taken(block_words: int, max_repeats: float) -> Column:

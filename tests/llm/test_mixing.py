@@ -74,6 +74,23 @@ def test_query_matches_a_slow_version(spark, sf_dir):
     assert sorted((r.doc_id, r.size, r.taken) for r in mix_sources(docs, shard_words=700).collect()) == brute_taken(docs, shard_words=700)
 
 
+def test_repeated_rows_are_spread(spark, make_docs):
+    """Rows equal in id and text go to all shards alike, those without words too."""
+    rows = [(None, "one two three", "a")] * 2000 + [(k, "four five", "a") for k in range(2000)] + [(None, None, "a")] * 500
+    docs = make_docs(rows)
+    got = mix_sources(docs, shard_words=700, block_words=8)
+    shards: dict = {}
+    for r in got.filter("doc_id is null and size = 3").groupBy("shard").count().collect():
+        shards[r.shard] = r["count"]
+    assert len(shards) == 15 and max(shards.values()) - min(shards.values()) <= 1
+    taken = lambda d: sorted((str(r.doc_id), r.size, r.taken) for r in mix_sources(d, shard_words=700, block_words=8).collect())
+    assert taken(docs) == taken(docs.repartition(11)) == taken(docs.coalesce(1))
+    assert got.count() == len(rows)
+    copies = mixed_documents(docs, shard_words=700, block_words=8)
+    assert copies.columns == docs.columns
+    assert sum(len(r.text.split()) for r in copies.collect()) == sum(x[2] for x in taken(docs))
+
+
 def test_targets():
     assert fill_targets([100, 100], [1, 1], 150, 2) == [75, 75]
     assert fill_targets([10, 1000], [5, 1], 1515, 2) == [20, 1495]
