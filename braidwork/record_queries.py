@@ -276,7 +276,8 @@ def _pattern_tables(spark, sf_dir) -> match.Tables:
             ends["endId"] = f"if({where}, {ends['endId']}, concat('no ', {ends['endId']}))"
         cols = [F.expr(x).alias(n) for n, x in ends.items()]
         out = df.select(*cols, F.lit(a).alias("startLabel"), F.lit(b).alias("endLabel"), *[F.expr(x).alias(p) for p, x in _PROPERTY.get(kind, {}).items()])
-        return out.distinct() if name == "lineitem" else out
+        # Dealt by one end, which the hop from it can use as it is.
+        return out.repartition("startId").distinct() if name == "lineitem" else out
 
     nodes = {n: node(n, *spec) for n, spec in _NODES.items()}
     edges = {e: edge(e, *spec) for e, spec in _EDGES.items()}

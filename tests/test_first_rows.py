@@ -48,3 +48,16 @@ def test_the_same_report_as_of_all_rows(farms, hops, columns, limits, limit):
 def test_documented_patterns_take_first_rows_along(session, name, limits):
     df = record_queries.QUERIES[f"pattern_{name}"](session, FOLDER)
     assert df._jdf.queryExecution().optimizedPlan().toString().count("GlobalLimit") == limits
+
+
+def test_names_are_not_dealt_with_the_lines(session):
+    """Sample, line and perturbation: the lines are dealt by sample and then, with ids alone, by perturbation."""
+    kept = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        t = record_queries._pattern_tables(session, FOLDER)
+        rows = match.match(t, "Sample", "s", [match.Hop("s", "UNDERWENT_PERTURBATION", "Perturbation", "pert")])
+        plan = rows.select(F.col("`s.id`"), F.col("`pert.perturbationName`"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert plan.count("Exchange hashpartitioning") == 4
