@@ -34,7 +34,7 @@ def fold_rows(existing: DataFrame | None, batch: DataFrame, keys: list[str], ord
     if existing is not None:
         rows = part(existing, 0, F.lit(None).cast(kind)).unionByName(rows)
     rows = rows.repartition(*deal) if deal else rows
-    last = lambda p: F.max_by(quoted(p), F.when(blank(quoted(p)) != "", F.struct("_part", "_at", quoted(p)))).alias(p)
+    last = lambda p: F.max(F.when(blank(quoted(p)) != "", F.struct("_part", "_at", quoted(p).alias("_value"))))["_value"].alias(p)
     return rows.groupBy(*keys).agg(*[last(p) for p in props]) if props else rows.select(*keys).distinct()
 
 
@@ -43,26 +43,36 @@ def upsert_nodes(existing: DataFrame | None, batch: DataFrame, key: str, order:
     return fold_rows(existing, batch.filter(blank(F.col(key)) != ""), [key], order)
 
 
-def edge_ends(edges: DataFrame) -> DataFrame:
+def edge_ends(edges: DataFrame, sides: bool = False) -> DataFrame:
     """The distinct (label, id) that edges name, blank ids included. They are reduced
-    before the shuffle, so a popular end is sent once a task."""
-    end = lambda side: F.struct(F.col(f"{side}Label").alias("label"), F.col(f"{side}Id").alias("id"))
-    return edges.select(F.inline(F.array(end("start"), end("end")))).distinct()
+    before the shuffle, so a popular end is sent once a task. ``sides``: with whether each is
+    a start and an end of any."""
+    end = lambda side, *own: F.struct(F.col(f"{side}Label").alias("label"), F.col(f"{side}Id").alias("id"), *own)
+    if not sides:
+        return edges.select(F.inline(F.array(end("start"), end("end")))).distinct()
+    flags = lambda start: (F.lit(start).alias("is_start"), F.lit(not start).alias("is_end"))
+    ends = edges.select(F.inline(F.array(end("start", *flags(True)), end("end", *flags(False)))))
+    return ends.groupBy("label", "id").agg(F.max("is_start").alias("is_start"), F.max("is_end").alias("is_end"))
 
 
-def _marked(batch: DataFrame, ids: DataFrame) -> DataFrame:
-    """The batch with ``_lost``: whether an end is blank or unknown.
+def mark_lost(batch: DataFrame, unknown: DataFrame, sides: tuple[str, ...] = ("start", "end")) -> DataFrame:
+    """The batch with ``_lost``: whether an end is among the unknown (label, id).
 
     Edges aren't joined with all ids but with the ends that turn out unknown; where those
-    are few, Spark broadcasts them and the edges aren't shuffled for it at all.
+    are few, Spark broadcasts them and the edges aren't shuffled for it at all. ``sides``: those that can have any.
     """
-    unknown = edge_ends(batch).join(ids, ["label", "id"], "left_anti").withColumn("_no", F.lit(True))
-    out = batch
-    for side in ("start", "end"):
-        named = unknown.select(F.col("label").alias(f"_{side}_label"), F.col("id").alias(f"_{side}_id"), F.col("_no").alias(f"_{side}_no"))
+    out, lost = batch, F.lit(False)
+    for side in sides:
+        named = unknown.select(F.col("label").alias(f"_{side}_label"), F.col("id").alias(f"_{side}_id"), F.lit(True).alias(f"_{side}_no"))
         same = F.col(f"{side}Label").eqNullSafe(F.col(f"_{side}_label")) & F.col(f"{side}Id").eqNullSafe(F.col(f"_{side}_id"))
         out = out.join(named, same, "left").drop(f"_{side}_label", f"_{side}_id")
-    return out.withColumn("_lost", F.col("_start_no").isNotNull() | F.col("_end_no").isNotNull()).drop("_start_no", "_end_no")
+        lost = lost | F.col(f"_{side}_no").isNotNull()
+    return out.withColumn("_lost", lost).drop("_start_no", "_end_no")
+
+
+def _marked(batch: DataFrame, ids: DataFrame) -> DataFrame:
+    """The batch with ``_lost``: whether an end is blank or unknown."""
+    return mark_lost(batch, edge_ends(batch).join(ids, ["label", "id"], "left_anti"))
 
 
 def upsert_edges(existing: DataFrame | None, batch: DataFrame, ids: DataFrame, order: str | None = None) -> tuple[DataFrame, DataFrame]:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from braidwork.functions.text import blank
 from braidwork.operators import fold
 from braidwork.plans.schema import Graph
 from braidwork.sources.readers import ORDER_AT, path_exists, read_graph
@@ -68,36 +69,44 @@ def _stored(spark: SparkSession, store: str, layout: Layout, kind: str, name: st
     return df if buckets is None else df.filter(F.col(BUCKET).isin(buckets))
 
 
-def _fold_in(spark: SparkSession, store: str, layout: Layout, kind: str, name: str, batch: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Folds a batch of one row a key into a table; rows written and buckets touched."""
-    batch = batch.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in batch.columns], bucket_of(keys, layout.buckets).alias(BUCKET)).persist()
-    try:
-        touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most the number of buckets
-        if not touched:
-            return 0, 0
-        old = _stored(spark, store, layout, kind, name, touched)
-        out = fold.fold_rows(old, batch, [BUCKET, *keys], deal=[BUCKET])
-        write = lambda df: df.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(_path(store, kind, name))
-        return counted(out, write)["n"], len(touched)
-    finally:
-        batch.unpersist()
+def _fold_in(spark: SparkSession, store: str, layout: Layout, kind: str, name: str, batch: DataFrame, keys: list[str], order: str | None) -> tuple[int, int]:
+    """Folds a batch, with its buckets, into a table; rows written and buckets touched. Rows of one key
+    are settled together with the stored one, where all are dealt by bucket."""
+    touched = [r[0] for r in batch.select(BUCKET).distinct().collect()]  # at most the number of buckets
+    if not touched:
+        return 0, 0
+    old = _stored(spark, store, layout, kind, name, touched)
+    out = fold.fold_rows(old, batch, [BUCKET, *keys], order, deal=[BUCKET])
+    write = lambda df: df.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(_path(store, kind, name))
+    return counted(out, write)["n"], len(touched)
+
+
+def _as_stored(df: DataFrame, keys: list[str], order: str | None, buckets: int) -> tuple[DataFrame, str | None]:
+    """A batch as text with its buckets, and the column of its order. Values of other types are settled among
+    themselves before they become text, since the greatest number isn't the greatest text."""
+    if any(kind != "string" for c, kind in df.dtypes if c not in keys and c != order):
+        df, order = fold.fold_rows(None, df, keys, order), None
+    text = [F.col(f"`{c}`") if c == order else F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
+    return df.select(*text, bucket_of(keys, buckets).alias(BUCKET)), order
 
 
-def _known_ends(spark: SparkSession, graph: Graph, store: str, layout: Layout, batch: DataFrame) -> DataFrame:
-    """The (label, id) of the batch's ends that the store has. Only the buckets they fall in
-    are read, and the ids there stay where they are read if the ends are small enough for
-    Spark to broadcast."""
-    ends = fold.edge_ends(batch).filter("id <> ''").withColumn(BUCKET, bucket_of(["id"], layout.buckets)).persist()
+def _unknown_ends(spark: SparkSession, graph: Graph, store: str, layout: Layout, batch: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """The (label, id) of the batch's ends that the store lacks, blank ones included, and the sides that have
+    any. Only the buckets they fall in are read."""
+    ends = fold.edge_ends(batch, sides=True).withColumn(BUCKET, bucket_of(["id"], layout.buckets)).persist()
     try:
         places: dict[str, list[int]] = {}
-        for label, bucket in ends.select("label", BUCKET).distinct().collect():  # labels times buckets at most
+        for label, bucket in ends.filter("id <> ''").select("label", BUCKET).distinct().collect():  # labels times buckets at most
             places.setdefault(label, []).append(bucket)
-        out = spark.createDataFrame([], "label string, id string")
+        known = spark.createDataFrame([], "label string, id string")
         for label, buckets in places.items():
             table = _stored(spark, store, layout, "nodes", label, buckets) if label in graph.nodes else None
             if table is not None:
-                out = out.unionByName(table.select(F.lit(label).alias("label"), F.col(graph.nodes[label].key).alias("id")))
-        return out.join(ends.select("label", "id"), ["label", "id"], "left_semi")
+                known = known.unionByName(table.select(F.lit(label).alias("label"), F.col(graph.nodes[label].key).alias("id")))
+        unknown = ends.drop(BUCKET).join(known.filter("id <> ''"), ["label", "id"], "left_anti").persist()
+        # Read once, so that Spark knows its size from here on, and the ends are needed no more.
+        n = unknown.agg(*[F.count_if(F.col(f"is_{s}")).alias(s) for s in ("start", "end")]).first()
+        return unknown, tuple(s for s in ("start", "end") if n[s])
     finally:
         ends.unpersist()
 
@@ -123,14 +132,26 @@ def fold_batch(spark: SparkSession, graph: Graph, store: str, nodes: dict[str, D
     for name, df in nodes.items():
         if name in graph.nodes:
             key = graph.nodes[name].key
-            report.append(("node", name, *_fold_in(spark, store, layout, "nodes", name, fold.upsert_nodes(None, df, key, own_order(df)), [key]), 0))
+            rows, at = _as_stored(df.filter(blank(F.col(key)) != ""), [key], own_order(df), layout.buckets)
+            rows = rows.persist()
+            try:
+                report.append(("node", name, *_fold_in(spark, store, layout, "nodes", name, rows, [key], at), 0))
+            finally:
+                rows.unpersist()
     for name, df in edges.items():
         if name in graph.edges:
-            kept, lost = fold.upsert_edges(None, df, _known_ends(spark, graph, store, layout, df), own_order(df))
-            done = _fold_in(spark, store, layout, "edges", name, kept, fold.EDGE_KEY)
-            lost = lost.select("startId", "endId", "startLabel", "endLabel", F.lit(name).alias("type"), F.lit(batch).alias("batch"))
-            put = lambda x: x.write.partitionBy("type", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{store}/dropped")
-            report.append(("edge", name, *done, counted(lost, put)["n"]))
+            df = df.withColumns({k: F.col(k).cast("string") for k in fold.EDGE_KEY})
+            unknown, sides = _unknown_ends(spark, graph, store, layout, df)
+            marked = fold.mark_lost(df, unknown, sides).persist()  # both the kept and the dropped come from it
+            try:
+                kept, at = _as_stored(marked.filter("not _lost").drop("_lost"), fold.EDGE_KEY, own_order(df), layout.buckets)
+                done = _fold_in(spark, store, layout, "edges", name, kept, fold.EDGE_KEY, at)
+                lost = marked.filter("_lost").select("startId", "endId", "startLabel", "endLabel", F.lit(name).alias("type"), F.lit(batch).alias("batch"))
+                put = lambda x: x.write.partitionBy("type", "batch").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{store}/dropped")
+                report.append(("edge", name, *done, counted(lost, put)["n"]))
+            finally:
+                marked.unpersist()
+                unknown.unpersist()
     return spark.createDataFrame(report, "kind string, name string, n_rows long, n_buckets int, n_dropped long")
 
 
