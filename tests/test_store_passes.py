@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from braidwork.plans import store
@@ -32,6 +33,16 @@ def test_each_edge_is_computed_twice_a_fold(session, tmp_path):
     assert store.dropped(session, at).count() == n - len(kept)
 
 
+@pytest.mark.parametrize("starts, ends, lost", [(["f1"], ["p1", "p9"], 1), (["f1", "f9"], ["p1"], 1), (["f1", "f9", None, ""], ["p1", "p9", None], 11), (["f1"], ["p1"], 0)])
+def test_unknown_ends_of_either_side(session, tmp_path, starts, ends, lost):
+    at = str(tmp_path / "store")
+    nodes = {"Farm": session.createDataFrame([("f1",), ("f2",)], "farmId string"), "Plot": session.createDataFrame([("p1",)], "plotId string")}
+    links = session.createDataFrame([(a, b, "Farm", "Plot", "1") for a in starts for b in ends], "startId string, endId string, startLabel string, endLabel string, share string")
+    report = {r.name: r for r in store.create_store(session, GRAPH, at, nodes, {"HOLDS": links}, buckets=4).collect()}
+    assert report["HOLDS"].n_dropped == lost and report["HOLDS"].n_rows == 1
+    assert [(r.startId, r.endId) for r in store.read_store(session, at)[1]["HOLDS"].collect()] == [("f1", "p1")]
+
+
 def test_numbers_stay_numbers_until_they_are_settled(session, tmp_path):
     at = str(tmp_path / "store")
     plots = lambda *v: {"Plot": session.createDataFrame([("p1", x) for x in v], "plotId string, size long")}
