@@ -121,19 +121,35 @@ def _aliquots(samples_path: str = "samples", leaf: str = "aliquot_id") -> Column
     return F.flatten(nested)
 
 
+def _aliquot_ids(cases: DataFrame) -> Column:
+    """The distinct aliquots of a case; one empty id if it has none."""
+    ids = F.array_distinct(F.filter(_aliquots(), lambda x: x != "")) if _has(cases.schema, "samples.portions.analytes.aliquots.aliquot_id") else F.array().cast("array<string>")
+    return F.when(F.size(ids) > 0, ids).otherwise(F.array(F.lit("")))
+
+
 def treatments(cases: DataFrame) -> DataFrame:
     """One row for each treatment and distinct aliquot of the case; a case without
     aliquots gives one row with an empty sample_id."""
     lead = (*IDENT, "diagnosis_id", "sample_id")
     if not _has(cases.schema, "diagnoses.treatments"):
         return _emit(None, cases, lead)
-    ids = F.array_distinct(F.filter(_aliquots(), lambda x: x != "")) if _has(cases.schema, "samples.portions.analytes.aliquots.aliquot_id") else F.array().cast("array<string>")
-    d = cases.select(*case_ident(cases), ids.alias("ids"), F.explode("diagnoses").alias("d"))
+    d = cases.select(*case_ident(cases), _aliquot_ids(cases).alias("ids"), F.explode("diagnoses").alias("d"))
     t = d.select(*IDENT, field(d, "d.diagnosis_id").alias("diagnosis_id"), "ids", F.explode("d.treatments").alias("item"))
-    rows = t.select(*IDENT, "diagnosis_id", F.explode(F.when(F.size("ids") > 0, F.col("ids")).otherwise(F.array(F.lit("")))).alias("sample_id"), "item")
+    rows = t.select(*IDENT, "diagnosis_id", F.explode("ids").alias("sample_id"), "item")
     return _emit(rows, cases, lead)
 
 
+def treatment_counts(cases: DataFrame) -> DataFrame:
+    """How many rows ``treatments`` has of each case and aliquot. Every treatment of a case meets every aliquot,
+    so they are counted per case and the rows, as many as the product of both, aren't made."""
+    if not _has(cases.schema, "diagnoses.treatments"):
+        return cases.sparkSession.createDataFrame([], "case_id string, sample_id string, n_treatments long")
+    sizes = F.transform("diagnoses", lambda d: F.when(d["treatments"].isNotNull(), F.size(d["treatments"])).otherwise(0).cast("long"))
+    n = cases.select(field(cases, "case_id").alias("case_id"), _aliquot_ids(cases).alias("ids"), F.aggregate(sizes, F.lit(0).cast("long"), lambda a, x: a + x).alias("n")).filter("n > 0")
+    rows = n.select("case_id", F.explode("ids").alias("sample_id"), "n")
+    return rows.groupBy("case_id", "sample_id").agg(F.sum("n").alias("n_treatments"))
+
+
 def programs(cases: DataFrame) -> DataFrame:
     named = cases.filter(field(cases, "project.program.name") != "")
     cols = flatten_scalars(cases.schema["project"].dataType["program"].dataType, "project.program.") if _has(cases.schema, "project.program.name") else []
