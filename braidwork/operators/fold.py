@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,9 +16,9 @@ from braidwork.sources.writers import declared_subtypes
 EDGE_KEY = ["startLabel", "startId", "endLabel", "endId"]
 
 
-def fold_rows(existing: DataFrame | None, batch: DataFrame, keys: list[str], order: str | None = None, deal: list[str] | None = None) -> DataFrame:
+def fold_rows(existing: DataFrame | None, batch: DataFrame, keys: list[str], order: str | None = None, deal: tuple[str, int] | None = None) -> DataFrame:
     """Per key and property the last non-empty value; the batch comes after what exists.
-    ``deal``: keys by which alone the rows are dealt, for a writer that needs them so.
+    ``deal``: a key that numbers the tasks from 0, and how many there are, for a writer that needs the rows so.
 
     ``order`` is a column of the batch that says which of its rows is later. Values that
     share a place, or have none because no order was given, are settled by the greatest, so
@@ -33,9 +36,10 @@ def fold_rows(existing: DataFrame | None, batch: DataFrame, keys: list[str], ord
     rows = part(batch, 1, at)
     if existing is not None:
         rows = part(existing, 0, F.lit(None).cast(kind)).unionByName(rows)
-    rows = rows.repartition(*deal) if deal else rows
+    rows = rows.repartitionById(deal[1], deal[0]) if deal else rows
     last = lambda p: F.max(F.when(blank(quoted(p)) != "", F.struct("_part", "_at", quoted(p).alias("_value"))))["_value"].alias(p)
-    return rows.groupBy(*keys).agg(*[last(p) for p in props]) if props else rows.select(*keys).distinct()
+    # Texts are settled in sorted rows, which the first bytes of the first key tell apart: an id, not a bucket or label.
+    return rows.groupBy(*keys[::-1]).agg(*[last(p) for p in props]).select(*keys, *props) if props else rows.select(*keys).distinct()
 
 
 def upsert_nodes(existing: DataFrame | None, batch: DataFrame, key: str, order: str | None = None) -> DataFrame:
@@ -45,29 +49,28 @@ def upsert_nodes(existing: DataFrame | None, batch: DataFrame, key: str, order:
 
 def edge_ends(edges: DataFrame, sides: bool = False) -> DataFrame:
     """The distinct (label, id) that edges name, blank ids included. They are reduced
-    before the shuffle, so a popular end is sent once a task. ``sides``: with whether each is
-    a start and an end of any."""
+    before the shuffle, so a popular end is sent once a task. ``sides``: with a number
+    whose bit 1 says that it is a start of any, bit 2 an end."""
     end = lambda side, *own: F.struct(F.col(f"{side}Label").alias("label"), F.col(f"{side}Id").alias("id"), *own)
     if not sides:
         return edges.select(F.inline(F.array(end("start"), end("end")))).distinct()
-    flags = lambda start: (F.lit(start).alias("is_start"), F.lit(not start).alias("is_end"))
-    ends = edges.select(F.inline(F.array(end("start", *flags(True)), end("end", *flags(False)))))
-    return ends.groupBy("label", "id").agg(F.max("is_start").alias("is_start"), F.max("is_end").alias("is_end"))
+    bit = lambda n: F.lit(n).cast("tinyint").alias("sides")
+    ends = edges.select(F.inline(F.array(end("start", bit(1)), end("end", bit(2)))))
+    return ends.groupBy("id", "label").agg(F.bit_or("sides").alias("sides"))
 
 
 def mark_lost(batch: DataFrame, unknown: DataFrame, sides: tuple[str, ...] = ("start", "end")) -> DataFrame:
-    """The batch with ``_lost``: whether an end is among the unknown (label, id).
+    """The batch with ``_lost``: whether an end is blank or among the unknown (label, id).
 
     Edges aren't joined with all ids but with the ends that turn out unknown; where those
     are few, Spark broadcasts them and the edges aren't shuffled for it at all. ``sides``: those that can have any.
     """
-    out, lost = batch, F.lit(False)
+    out = batch
     for side in sides:
-        named = unknown.select(F.col("label").alias(f"_{side}_label"), F.col("id").alias(f"_{side}_id"), F.lit(True).alias(f"_{side}_no"))
-        same = F.col(f"{side}Label").eqNullSafe(F.col(f"_{side}_label")) & F.col(f"{side}Id").eqNullSafe(F.col(f"_{side}_id"))
-        out = out.join(named, same, "left").drop(f"_{side}_label", f"_{side}_id")
-        lost = lost | F.col(f"_{side}_no").isNotNull()
-    return out.withColumn("_lost", lost).drop("_start_no", "_end_no")
+        named = unknown.select(F.col("id").alias(f"{side}Id"), F.col("label").alias(f"{side}Label"), F.lit(True).alias(f"_{side}_no"))
+        out = out.join(named, [f"{side}Id", f"{side}Label"], "left")
+    lost = [F.col(f"{s}Label").isNull() | (blank(F.col(f"{s}Id")) == "") for s in ("start", "end")] + [F.col(f"_{s}_no").isNotNull() for s in sides]
+    return out.select(*[quoted(c) for c in batch.columns], reduce(or_, lost).alias("_lost"))
 
 
 def _marked(batch: DataFrame, ids: DataFrame) -> DataFrame:

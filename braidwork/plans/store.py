@@ -76,7 +76,7 @@ def _fold_in(spark: SparkSession, store: str, layout: Layout, kind: str, name: s
     if not touched:
         return 0, 0
     old = _stored(spark, store, layout, kind, name, touched)
-    out = fold.fold_rows(old, batch, [BUCKET, *keys], order, deal=[BUCKET])
+    out = fold.fold_rows(old, batch, [BUCKET, *keys], order, deal=(BUCKET, layout.buckets))
     write = lambda df: df.write.partitionBy(BUCKET).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(_path(store, kind, name))
     return counted(out, write)["n"], len(touched)
 
@@ -91,22 +91,22 @@ def _as_stored(df: DataFrame, keys: list[str], order: str | None, buckets: int)
 
 
 def _unknown_ends(spark: SparkSession, graph: Graph, store: str, layout: Layout, batch: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
-    """The (label, id) of the batch's ends that the store lacks, blank ones included, and the sides that have
+    """The (label, id) of the batch's ends that the store lacks, without blank ones, and the sides that have
     any. Only the buckets they fall in are read."""
-    ends = fold.edge_ends(batch, sides=True).withColumn(BUCKET, bucket_of(["id"], layout.buckets)).persist()
+    ends = fold.edge_ends(batch, sides=True).filter("id <> '' AND label IS NOT NULL").persist()
     try:
         places: dict[str, list[int]] = {}
-        for label, bucket in ends.filter("id <> ''").select("label", BUCKET).distinct().collect():  # labels times buckets at most
+        for label, bucket in ends.select("label", bucket_of(["id"], layout.buckets)).distinct().collect():  # labels times buckets at most
             places.setdefault(label, []).append(bucket)
         known = spark.createDataFrame([], "label string, id string")
         for label, buckets in places.items():
             table = _stored(spark, store, layout, "nodes", label, buckets) if label in graph.nodes else None
             if table is not None:
                 known = known.unionByName(table.select(F.lit(label).alias("label"), F.col(graph.nodes[label].key).alias("id")))
-        unknown = ends.drop(BUCKET).join(known.filter("id <> ''"), ["label", "id"], "left_anti").persist()
+        unknown = ends.join(known.filter("id <> ''"), ["id", "label"], "left_anti").persist()
         # Read once, so that Spark knows its size from here on, and the ends are needed no more.
-        n = unknown.agg(*[F.count_if(F.col(f"is_{s}")).alias(s) for s in ("start", "end")]).first()
-        return unknown, tuple(s for s in ("start", "end") if n[s])
+        bits = unknown.agg(F.bit_or("sides")).first()[0] or 0
+        return unknown, tuple(s for s, bit in (("start", 1), ("end", 2)) if bits & bit)
     finally:
         ends.unpersist()
 

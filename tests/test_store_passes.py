@@ -1,10 +1,12 @@
 """A fold reads its batch twice: once for the ends, once for the edges."""
 
+import re
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from braidwork.operators import fold
 from braidwork.plans import store
 from braidwork.plans.schema import Graph
 
@@ -50,3 +52,28 @@ def test_numbers_stay_numbers_until_they_are_settled(session, tmp_path):
     assert store.read_store(session, at)[0]["Plot"].first().size == "10"
     store.fold_batch(session, GRAPH, at, plots(2, None), {}, "b")
     assert store.read_store(session, at)[0]["Plot"].first().size == "2"
+
+
+def _settling(session, deal):
+    """Group keys of the last step of a fold's plan, and the number of its tasks."""
+    rows = session.createDataFrame([("Farm", f"f{k % 90}", "Plot", f"p{k}", "1", k % 7) for k in range(180)], "startLabel string, startId string, endLabel string, endId string, share string, _bucket int")
+    out = fold.fold_rows(None, rows, ["_bucket", *fold.EDGE_KEY], deal=deal)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    return out, [c.split("#")[0] for c in re.search(r"Sort \[(.*?)\]", plan)[1].split(", ")]
+
+
+def test_a_bucket_is_one_task_and_ids_are_sorted_first(session):
+    out, sorted_by = _settling(session, ("_bucket", 7))
+    assert sorted_by == ["endId", "endLabel", "startId", "startLabel", "_bucket"]
+    at = out.select("_bucket", F.spark_partition_id().alias("task")).distinct().collect()
+    assert sorted((r._bucket, r.task) for r in at) == [(k, k) for k in range(7)]
+    assert out.columns == ["_bucket", *fold.EDGE_KEY, "share"] and out.count() == 180
+
+
+def test_ends_are_known_by_side_and_blank_ones_are_lost_without_a_lookup(session):
+    links = session.createDataFrame([("f1", "p1", "Farm", "Plot"), ("f1", "f2", "Farm", "Farm"), ("f2", "", "Farm", "Plot"), (None, "p1", "Farm", "Plot"), ("f1", "p1", None, "Plot")], "startId string, endId string, startLabel string, endLabel string")
+    ends = {(r.label, r.id): r.sides for r in fold.edge_ends(links, sides=True).collect() if r.id}
+    assert ends == {("Farm", "f1"): 1, ("Farm", "f2"): 3, ("Plot", "p1"): 2, (None, "f1"): 1}
+    none = session.createDataFrame([], "label string, id string")
+    lost = [r._lost for r in fold.mark_lost(links, none, ()).orderBy(F.monotonically_increasing_id()).collect()]
+    assert lost == [False, False, True, True, True]
