@@ -6,8 +6,10 @@ so a changed letter changes the part it stands in and no other. A sketch has thr
 cells; a digest is added to one cell of each table, where a cell keeps a count, the sum of
 its digests and the sum of their checks. The sketch of one version minus that of another
 leaves their difference; cells with a single digest are read and taken out in turn
-(peeling), which gives the digests that only one version has. If cells are left, sketches of
-twice the size are built, until the peeling ends.
+(peeling), which gives the digests that only one version has. If cells are left, larger
+sketches are built, of twice the size or of the size that the counts of the cells call for,
+until the peeling ends. A sum of several digests can pass for one of them; it doesn't belong
+to its cell or is read again when it has been taken out, and then a larger sketch is built.
 
 The fingerprint is a sketch whose size follows the number of digests, printed with that
 number, so equal texts have equal fingerprints. A wide sketch folds to a narrower one, since
@@ -27,6 +29,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -41,27 +45,58 @@ from braidwork.llm.grams import mix
 U = np.uint64
 C = np.uint32
 TABLES = 3
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+# Between sentences: white space after a full stop, which isn't part of it, or line ends. Both
+# patterns begin with a class of characters, which a search looks for first.
+_SENTENCE = re.compile(r"[.!?\n](?:(?<=\n)\n*|(?<!\n)\s+)")
 # Within a long sentence: a space between letters that a third of the places or so have.
-_PART = re.compile(r"(?<=[adghklnsy,;:])\s+(?=[\Wa-m])")
+_PART = re.compile(r"\s(?<=[adghklnsy,;:]\s)\s*(?=[\Wa-m])")
+_BLACK = re.compile(r"\S")
 
 
-def paragraphs(text: str, long: int = 64) -> list[str]:
-    out = []
-    for s in _SENTENCE.split(text):
+class Cut(NamedTuple):
+    """The sentences of a text: where they start and stop, how many paragraph digests come
+    before each (and in all), and these digests, in the order of the text."""
+
+    starts: np.ndarray
+    stops: np.ndarray
+    before: np.ndarray
+    keys: np.ndarray
+
+
+def cut(text: str, long: int = 64) -> Cut:
+    starts, stops, before, keys = [], [], [0], []
+    digest, start = xxhash.xxh3_64_intdigest, 0
+    for m in chain(_SENTENCE.finditer(text), [None]):
+        stop, end = m.span() if m else (len(text), 0)
+        if m and text[stop] != "\n":
+            stop += 1
+        s = text[start:stop]
         if len(s) <= long:
-            out += [s] if s.strip() else []
-            continue
-        for part in _PART.split(s):
-            # Text without such places, in scripts without spaces, is cut by length.
-            out += [part] if len(part) <= 4 * long else [part[k : k + long] for k in range(0, len(part), long)]
-    return out
+            if s and not s.isspace():
+                keys.append(digest(s))
+        else:
+            parts = _PART.split(s)
+            if len(s) > 4 * long and max(map(len, parts)) > 4 * long:
+                # Text without such places, in scripts without spaces, is cut by length.
+                parts = chain.from_iterable([p] if len(p) <= 4 * long else [p[k : k + long] for k in range(0, len(p), long)] for p in parts)
+            keys += map(digest, parts)
+        starts.append(start)
+        stops.append(stop)
+        before.append(len(keys))
+        start = end
+    return Cut(*(np.array(x, dtype=np.int64) for x in (starts, stops, before)), np.array(keys, dtype=U))
+
+
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return keys[new]
 
 
 def digests(text: str | None) -> np.ndarray:
     """The distinct paragraph digests of a text, in order."""
-    found = {xxhash.xxh3_64_intdigest(p) for p in paragraphs(text or "")}
-    return np.sort(np.fromiter(found, dtype=U, count=len(found)))
+    return _distinct(cut(text or "").keys)
 
 
 def _checks(keys: np.ndarray) -> np.ndarray:
@@ -70,11 +105,17 @@ def _checks(keys: np.ndarray) -> np.ndarray:
 
 def _cells(keys: np.ndarray, width: np.ndarray) -> list[np.ndarray]:
     """The cell of each digest within each of the tables, ``width`` cells wide."""
-    return [(mix(keys * U(2 * k + 3) + U(k + 1)) % width).astype(np.int64) + k * width.astype(np.int64) for k in range(TABLES)]
+    return [_cell(keys, k, width) for k in range(TABLES)]
+
+
+def _cell(keys: np.ndarray, table, width: np.ndarray) -> np.ndarray:
+    k = np.asarray(table).astype(U)
+    return (mix(keys * (U(2) * k + U(3)) + k + U(1)) & (width - U(1)) | k * width).astype(np.int64)
 
 
 class Sketches:
-    """Sketches of many documents side by side; document k has 3 * width[k] cells."""
+    """Sketches of many documents side by side; document k has 3 * width[k] cells. Widths
+    are powers of two."""
 
     def __init__(self, width: np.ndarray):
         self.width = width
@@ -85,39 +126,60 @@ class Sketches:
         self.keys = np.zeros(total, dtype=U)
         self.checks = np.zeros(total, dtype=C)
 
-    def add(self, keys: np.ndarray, owner: np.ndarray, sign: np.ndarray) -> None:
-        """Adds (sign 1) or takes out (sign -1) digests; the sums wrap around."""
-        checks, signed = _checks(keys), sign.astype(np.int64).astype(U)
-        for cell in _cells(keys, self.width[owner].astype(U)):
-            at = self.offset[owner] + cell
+    def add(self, keys: np.ndarray, owner: np.ndarray, sign: np.ndarray) -> np.ndarray:
+        """Adds (sign 1) or takes out (sign -1) digests; the sums wrap around. Gives the
+        cells that they are in."""
+        signed = sign.astype(np.int64).astype(U)
+        keys, checks, offset = keys * signed, _checks(keys) * signed.astype(C), self.offset[owner]
+        cells = [offset + cell for cell in _cells(keys * signed, self.width[owner].astype(U))]
+        for at in cells:
             np.add.at(self.count, at, sign)
-            np.add.at(self.keys, at, keys * signed)
-            np.add.at(self.checks, at, checks * signed.astype(C))
+            np.add.at(self.keys, at, keys)
+            np.add.at(self.checks, at, checks)
+        return np.concatenate(cells)
 
     def peel(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(digest, owner, sign) read from the cells, and whether each document is done."""
         owner_of = np.repeat(np.arange(len(self.width)), TABLES * self.width)
+        room = TABLES * self.width  # each digest that is read empties a cell for good
         found = ([], [], [])
-        while True:
-            one = np.flatnonzero(np.abs(self.count) == 1)
-            sign = self.count[one]
-            keys = self.keys[one] * sign.astype(U)
-            good = self.checks[one] * sign.astype(C) == _checks(keys)
-            keys, sign, owner = keys[good], sign[good], owner_of[one[good]]
-            if not len(keys):
-                break
-            by = np.lexsort((keys, owner))  # a digest is read once, though up to three cells show it
-            new = np.ones(len(by), dtype=bool)
-            new[1:] = (keys[by][1:] != keys[by][:-1]) | (owner[by][1:] != owner[by][:-1])
-            pick = by[new]
+        look = np.flatnonzero(np.abs(self.count) == 1)
+        while len(look):
+            sign, owner = self.count[look], owner_of[look]
+            keys = self.keys[look] * sign.astype(U)
+            good = np.flatnonzero((self.checks[look] * sign.astype(C) == _checks(keys)) & (room[owner] > 0))
+            keys, sign, owner, at = keys[good], sign[good], owner[good], look[good] - self.offset[owner[good]]
+            own = _cell(keys, at // self.width[owner], self.width[owner].astype(U)) == at
+            keys, sign, owner = keys[own], sign[own], owner[own]
+            pick = _firsts(keys, owner)  # a digest is read once, though up to three cells show it
             for out, x in zip(found, (keys[pick], owner[pick], sign[pick]), strict=True):
                 out.append(x)
-            self.add(keys[pick], owner[pick], -sign[pick])
+            room = room - np.bincount(owner[pick], minlength=len(room))
+            look = _distinct(self.add(keys[pick], owner[pick], -sign[pick]))  # other cells are as before
+            look = look[np.abs(self.count[look]) == 1]
         left = (self.count != 0) | (self.keys != 0) | (self.checks != 0)
         undone = np.zeros(len(self.width), dtype=bool)
         undone[owner_of[left]] = True
-        join = lambda x, t: np.concatenate(x) if x else np.empty(0, dtype=t)
-        return join(found[0], U), join(found[1], np.int64), join(found[2], np.int64), ~undone
+        keys, owner, sign = (np.concatenate([np.empty(0, dtype=t), *x]) for x, t in zip(found, (U, np.int64, np.int64), strict=True))
+        again = np.ones(len(keys), dtype=bool)
+        again[_firsts(keys, owner)] = False
+        undone[owner[again]] = True
+        return keys, owner, sign, ~undone
+
+    def guess(self) -> np.ndarray:
+        """About how many digests each document's cells hold, by the squares of their counts:
+        in a table they come to that number, and signs that don't cancel to 1 / width of the
+        square of their sum."""
+        squares, sums = (np.add.reduceat(x, self.offset) / TABLES if len(x) else np.zeros(0) for x in (self.count**2, self.count))
+        return np.maximum(np.abs(sums), (squares - sums**2 / self.width) / (1 - 1 / np.maximum(self.width, 2)))
+
+
+def _firsts(keys: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """The place of each different (digest, owner)."""
+    by = np.argsort(keys ^ mix(owner.astype(U) + U(1)))
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = (keys[by][1:] != keys[by][:-1]) | (owner[by][1:] != owner[by][:-1])
+    return by[new]
 
 
 def widths(sizes) -> np.ndarray:
@@ -127,9 +189,9 @@ def widths(sizes) -> np.ndarray:
     return 4 << np.maximum(0, np.ceil(np.log2(n / 128)).astype(np.int64))
 
 
-def sketch(sets: list[np.ndarray], width: np.ndarray, sign: int = 1) -> Sketches:
-    """One sketch for each set of digests."""
-    out, sizes = Sketches(width), [len(x) for x in sets]
+def sketch(sets: list[np.ndarray], width: np.ndarray, sign: int = 1, out: Sketches | None = None) -> Sketches:
+    """One sketch for each set of digests; or the sets are added to (sign -1: taken from) ``out``."""
+    out, sizes = out or Sketches(width), [len(x) for x in sets]
     if sum(sizes):
         keys = np.concatenate(sets)
         out.add(keys, np.repeat(np.arange(len(sets)), sizes), np.full(len(keys), sign, dtype=np.int64))
@@ -159,7 +221,7 @@ def differences(a: list[np.ndarray], b: list[np.ndarray], first: tuple[Sketches,
     count, recovered = np.zeros(n, dtype=np.int64), [None] * n
     todo, left = np.arange(n), subtract(one, two)
     while len(todo):
-        width = left.width
+        guess = left.guess()
         keys, owner, sign, done = left.peel()
         by = np.argsort(owner, kind="stable")
         cuts = np.searchsorted(owner[by], np.arange(len(todo) + 1))
@@ -167,13 +229,14 @@ def differences(a: list[np.ndarray], b: list[np.ndarray], first: tuple[Sketches,
             part = by[cuts[j] : cuts[j + 1]]
             count[todo[j]] = len(part)
             recovered[todo[j]] = (keys[part], sign[part])
-        todo, width = todo[~done], 2 * width[~done]  # retried larger
+        # Retried larger: twice as wide, or with cells for 1.4 times the digests.
+        todo, width, guess = todo[~done], 2 * left.width[~done], guess[~done]
         if len(todo):
             sides = [[side[k] for k in todo] for side in (a, b)]
-            # At the least, the sketch holds the difference of the two sizes.
-            least = np.array([abs(len(x) - len(y)) // 2 for x, y in zip(*sides, strict=True)])
-            width = np.maximum(width, 1 << np.ceil(np.log2(np.maximum(least, 1))).astype(np.int64))
-            left = subtract(sketch(sides[0], width), sketch(sides[1], width))
+            most = np.array([len(x) + len(y) for x, y in zip(*sides, strict=True)])
+            cells = 1.4 * np.minimum(guess, most) / TABLES
+            left = sketch(sides[0], np.maximum(width, 1 << np.ceil(np.log2(np.maximum(cells, 1))).astype(np.int64)))
+            sketch(sides[1], left.width, -1, left)
     return count, recovered
 
 
@@ -224,10 +287,35 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def edited_digests(text: str, one: Cut, following: str, two: Cut) -> np.ndarray:
+    """digests(edited(text, following)) from the cuts of both. Only the sentence where the
+    two meet and the last one are cut anew: a gap between sentences that has a character of
+    the same side after it, and of the second side one other than white space before it, is
+    where it was."""
+    half = len(text) // 2
+    end = len(text) - half
+    if not end:
+        return one.keys
+    k = int(np.searchsorted(one.starts, end)) - 1  # the sentence that the first side ends in
+    keys, first = one.keys[: one.before[k]], text[one.starts[k] : end]
+    black = _BLACK.search(following, 0, half)
+    j = int(np.searchsorted(two.starts, black.start(), side="right")) if black else len(two.starts)
+    if j == len(two.starts) or two.starts[j] >= min(half, len(following)):
+        return _distinct(np.concatenate([keys, cut(first + following[:half]).keys]))
+    last = int(np.searchsorted(two.starts, min(half, len(following)))) - 1
+    middle, rest = cut(first + following[: two.stops[j - 1]]), cut(following[two.starts[last] : half])
+    return _distinct(np.concatenate([keys, middle.keys, two.keys[two.before[j] : two.before[last]], rest.keys]))
+
+
 def compared(ids: list, texts: list[str], following: list[str]) -> list[list]:
     """The columns of FIELDS for documents with their next ones."""
     new = [edited(t, x) for t, x in zip(texts, following, strict=True)]
-    sets = [[digests(t) for t in side] for side in (texts, new, following)]
+    cuts = {}  # equal texts, and a text that is also a next one, are cut once
+    for t in (*texts, *following):
+        if t not in cuts:
+            cuts[t] = cut(t)
+    own = {t: _distinct(c.keys) for t, c in cuts.items()}
+    sets = [[own[t] for t in texts], [edited_digests(t, cuts[t], x, cuts[x]) for t, x in zip(texts, following, strict=True)], [own[t] for t in following]]
     sizes = [[len(x) for x in side] for side in sets]
     own, changed, after = (sketch(side, widths(n)) for side, n in zip(sets, sizes, strict=True))
     return [
@@ -281,12 +369,15 @@ def compare_versions(docs: DataFrame, rows: int = 512) -> DataFrame:
     Rows are dealt by ranges of (doc_id, text hash) and sorted, and every task pairs its rows
     as it reads them, ``rows`` at a time, so a null or repeated doc_id fills no task, and no
     range is gathered. Of each partition one text is sent on, to the partition before it.
+    Ranges are as many as spark.sql.shuffle.partitions says and aren't merged by their bytes:
+    a task computes for long on few of them.
     """
     text = F.coalesce("text", F.lit(""))
     # The row number only says where rows equal in id and text may be cut.
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_row"))
     by = [F.desc_nulls_last("doc_id"), F.col("_hash"), F.col("_row")]
-    line = keyed.repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    line = keyed.repartitionByRange(ranges, *by).sortWithinPartitions(*by).select("doc_id", "text")
     found = materialise(line.mapInArrow(_line(rows), f"{FIELDS}, part int, end int, text string"), "fingerprints")
     names = [f.split()[0] for f in FIELDS.split(", ")]
     ends = found.filter("end > 0").select("part", "end", "doc_id", "text")

@@ -1,11 +1,13 @@
 import hashlib
 import random
+import signal
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from braidwork.llm import fingerprints
 from braidwork.llm.fingerprints import compare, compare_versions, compared, differences, digests, parsed, printed, sketch, widths
 from braidwork.llm.queries import op1_fingerprints
 
@@ -96,3 +98,70 @@ def test_large_null_and_repeated_ids(spark, make_docs, parts):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+# Digests a, b, c that share a cell of the narrowest sketches, where a + b - c passes the check.
+# The sum of the first three belongs to another cell, that of the others to this one too.
+PASSING = [
+    (7180013950311050404, 8715808861838871, 9901568721173576246),
+    (13648774610088437962, 15573491742868360750, 16555357876873156),
+    (12651208952191572294, 16023894945183447979, 5073978854501055170),
+]
+
+
+@pytest.mark.parametrize("a, b, c", PASSING)
+@pytest.mark.parametrize("more", [0, 1, 4, 20, 90])
+def test_a_sum_that_passes_for_a_digest_neither_counts_nor_loops(a, b, c, more):
+    """With many digests beside them, the sum was read again and again, without end."""
+
+    def stop(*_):
+        raise TimeoutError
+
+    rng, sort = random.Random(more), lambda x: np.array(sorted(x), dtype=np.uint64)
+    others = [rng.getrandbits(64) for _ in range(40 * more)]
+    cells = fingerprints._cells(np.array(others, dtype=np.uint64), np.full(len(others), 4, dtype=np.uint64))[0]
+    others = [x for x, cell in zip(others, cells, strict=True) if cell][:more]
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.alarm(20)
+    try:
+        count, found = differences([sort([a, b, *others])], [sort([c])])
+    finally:
+        signal.alarm(0)
+        signal.signal(signal.SIGALRM, before)
+    assert count.tolist() == [more + 3]
+    keys, sign = found[0]
+    assert dict(zip(keys.tolist(), sign.tolist(), strict=True)) == dict.fromkeys([a, b, *others], 1) | {c: -1}
+
+
+def test_texts_are_cut_once_and_edited_ones_where_they_meet(monkeypatch):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aeilmnorstu") for _ in range(rng.randrange(2, 9)))
+    texts = [". ".join(" ".join(word() for _ in range(rng.randrange(4, 30))) for _ in range(40)) for _ in range(30)]
+    cut, seen = fingerprints.cut, []
+    monkeypatch.setattr(fingerprints, "cut", lambda text: seen.append(len(text)) or cut(text))
+    compared(list(range(29)), texts[:-1], texts[1:])
+    assert sum(seen) < 1.2 * sum(map(len, texts))
+
+
+def test_edited_digests_are_those_of_the_edited_text():
+    rng = random.Random(9)
+    kinds = ["ab. \n", "a.!?\n\r\t \x0b\x85\xa0 z,;M", " \n.", "adghz 　,M."]
+
+    def text():
+        kind = rng.choice(kinds)
+        return "".join(rng.choice(kind) for _ in range(rng.choice([0, 1, 2, 3, 5, 8, 13, 40, 200]))) + "x" * rng.choice([0, 0, 0, 300])
+
+    for _ in range(3000):
+        one, two = text(), text()
+        found = fingerprints.edited_digests(one, fingerprints.cut(one), two, fingerprints.cut(two))
+        assert found.tolist() == digests(fingerprints.edited(one, two)).tolist(), (one, two)
+
+
+def test_ranges_are_as_many_as_the_shuffle_says(spark, make_docs):
+    """Few bytes a range are no reason to merge ranges, since the tasks on them compute for long."""
+    docs = make_docs([(k, f"Text {k}. More.") for k in range(400)])
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        assert len(compare_versions(docs).inputFiles()) > 6
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
