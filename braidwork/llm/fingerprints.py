@@ -369,21 +369,24 @@ def compare_versions(docs: DataFrame, rows: int = 512) -> DataFrame:
     Rows are dealt by ranges of (doc_id, text hash) and sorted, and every task pairs its rows
     as it reads them, ``rows`` at a time, so a null or repeated doc_id fills no task, and no
     range is gathered. Of each partition one text is sent on, to the partition before it.
-    Ranges are as many as spark.sql.shuffle.partitions says and aren't merged by their bytes:
-    a task computes for long on few of them.
+    Ranges aren't merged by their bytes, since a task computes for long on few of them: there
+    is one for 1,024 rows, or for as few as 64 where a slot would have less than four, and
+    spark.sql.shuffle.partitions at most.
     """
     text = F.coalesce("text", F.lit(""))
     # The row number only says where rows equal in id and text may be cut.
     keyed = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_hash"), F.monotonically_increasing_id().alias("_row"))
     by = [F.desc_nulls_last("doc_id"), F.col("_hash"), F.col("_row")]
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark, n = docs.sparkSession, docs.count()
+    slots = spark.sparkContext.defaultParallelism
+    ranges = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(n // 1024, min(4 * slots, n // 64), 1))
     line = keyed.repartitionByRange(ranges, *by).sortWithinPartitions(*by).select("doc_id", "text")
     found = materialise(line.mapInArrow(_line(rows), f"{FIELDS}, part int, end int, text string"), "fingerprints")
     names = [f.split()[0] for f in FIELDS.split(", ")]
     ends = found.filter("end > 0").select("part", "end", "doc_id", "text")
     # The numbers of the partitions that hold rows: as many as the shuffle has tasks.
     parts = sorted(r["part"] for r in ends.filter("end = 1").select("part").collect())
-    follows = docs.sparkSession.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, next int")
+    follows = spark.createDataFrame(list(zip(parts, parts[1:] + parts[:1], strict=True)), "part int, next int")
     firsts = ends.filter("end = 1").select(F.col("part").alias("next"), F.col("text").alias("next_text"))
     lasts = ends.filter("end = 2").join(follows, "part").join(firsts, "next").select("doc_id", "text", "next_text")
 
